@@ -697,6 +697,7 @@ SELECT coalesce(m.observation_year, p.observation_year) AS observation_year,
 FROM mart m FULL OUTER JOIN prof p ON m.observation_year = p.observation_year""")
     o["rerun_diff"] = _with("wide", "SELECT *, 'x' AS side FROM wide WHERE false")
     o.update(file_plans.oracles(_with))
+    o["star_data_tests"] = o["data_tests"]
     return o
 
 

@@ -1,7 +1,231 @@
-"""File-based plans registered as queries (filled in below)."""
+"""Registered queries that exercise the file sources, sinks and jobs end to end.
 
-QUERIES: dict = {}
+Each writes the tables-derived data under a fresh folder inside the session's shared
+checkpoint location (``spark.checkpoint.dir``; a temporary folder only where it is unset,
+as in local tests), runs the job, and returns what it reads back.
+"""
 
+from __future__ import annotations
 
-def oracles(with_chain) -> dict:
-    return {}
+import datetime as _dt
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wxstar.operators import models, profiling, trends
+from wxstar.plans import jobs
+from wxstar.plans.star import star_from_tables
+from wxstar.schemas import OBSERVATION_COLUMNS, RAW_STATIONS_SCHEMA
+from wxstar.session import scratch_dir
+from wxstar.sinks import parquet as sinks
+from wxstar.sources import tables
+from wxstar.sources.files import read_observations, read_station_days
+
+REPLACE_YEAR = 1998
+DROPPED_MONTH = "02"
+BACKFILL_UNTIL = 1999           # first backfill covers the years up to this one
+AS_OF = _dt.date(2001, 6, 1)    # rolling refresh adds [2000, 2001]
+BUCKETS = 8
+ROUND = 4
+
+
+def _raw(spark, sf_dir):
+    return tables.long_observations(spark, sf_dir)
+
+
+def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows -> headerless gzip CSV, one folder per year -> one multi-year scan with the
+    fixed schema -> coverage by year."""
+    out = scratch_dir(spark, "csv")
+    raw = _raw(spark, sf_dir).select(*OBSERVATION_COLUMNS)
+    (
+        raw.withColumn("file_year", F.substring("date", 1, 4).try_cast("int"))
+        .write.partitionBy("file_year").option("compression", "gzip").csv(out)
+    )
+    back = read_observations(spark, out)
+    return profiling.coverage_by_year(back, year_col="file_year")
+
+
+def q_parquet_partition_roundtrip(spark, sf_dir):
+    """Station-days -> ``year=/month=`` Parquet -> read back with the explicit schema."""
+    root = scratch_dir(spark, "parquet")
+    path = sinks.write_station_days(star_from_tables(spark, sf_dir).station_days, root)
+    return read_station_days(spark, path)
+
+
+def q_partition_pruned_months(spark, sf_dir):
+    """Monthly counts of one year from the partitioned files (the year filter prunes)."""
+    root = scratch_dir(spark, "pruned")
+    path = sinks.write_station_days(star_from_tables(spark, sf_dir).station_days, root)
+    return trends.monthly_counts(read_station_days(spark, path), REPLACE_YEAR)
+
+
+def q_quarantine_roundtrip(spark, sf_dir):
+    root = scratch_dir(spark, "quarantine")
+    path = sinks.write_quarantine(star_from_tables(spark, sf_dir).rejected, root)
+    back = spark.read.parquet(path)
+    return back.groupBy("year", "reason").agg(F.count("*").alias("rows"))
+
+
+def q_year_replace(spark, sf_dir):
+    """Write all years, then re-run one year whose February is gone: the month must
+    vanish (a dynamic overwrite would leave it stale)."""
+    root = scratch_dir(spark, "replace")
+    sd = star_from_tables(spark, sf_dir).station_days
+    path = sinks.write_station_days(sd, root)
+    rerun = sd.filter(~((F.col("year") == REPLACE_YEAR) & (F.col("month") == DROPPED_MONTH)))
+    sinks.replace_years(rerun, path, [REPLACE_YEAR])
+    return read_station_days(spark, path).groupBy("year", "month").agg(F.count("*").alias("rows"))
+
+
+def q_atomic_replace(spark, sf_dir):
+    root = scratch_dir(spark, "atomic")
+    stations = star_from_tables(spark, sf_dir).stations
+    name = f"raw_stations_{uuid.uuid4().hex[:8]}"
+    sinks.atomic_replace(spark, stations, root, name, schema=RAW_STATIONS_SCHEMA)
+    return sinks.atomic_replace(spark, stations, root, name, schema=RAW_STATIONS_SCHEMA)
+
+
+def q_bucketed_fact(spark, sf_dir):
+    """Yearly mart over the fact stored bucketed by station and sorted by date."""
+    root = scratch_dir(spark, "bucketed")
+    name = f"fct_bucketed_{uuid.uuid4().hex[:8]}"
+    sinks.write_bucketed_fact(star_from_tables(spark, sf_dir).fct, name, BUCKETS, path=root)
+    m = models.with_tmax_share(models.mart_yearly_climate(spark.table(name)))
+    avgs = ["avg_tmax_c", "avg_tmin_c", "avg_tavg_c", "avg_prcp_mm", "avg_snow_mm", "avg_snwd_mm"]
+    return m.select(
+        "observation_year", "station_count", "tmax_days", "station_days", "tmax_share",
+        *[F.round(a, ROUND).alias(a) for a in avgs],
+    )
+
+
+def q_ingest_year(spark, sf_dir):
+    root = scratch_dir(spark, "ingest")
+    clean, _ = jobs.ingest(_raw(spark, sf_dir), root, years=[REPLACE_YEAR], order_key="src_order")
+    return read_station_days(spark, clean)
+
+
+def q_backfill_years(spark, sf_dir):
+    root = scratch_dir(spark, "backfill")
+    clean, _ = jobs.ingest(_raw(spark, sf_dir), root, order_key="src_order")
+    return trends.yearly_counts(read_station_days(spark, clean))
+
+
+def q_rolling_window(spark, sf_dir):
+    """Backfill up to 1999, then the rolling two-year refresh as of mid-2001 adds 2000
+    and 2001 without touching earlier years."""
+    root = scratch_dir(spark, "rolling")
+    raw = _raw(spark, sf_dir)
+    year_text = F.substring("date", 1, 4).try_cast("int")
+    jobs.ingest(raw.filter(year_text <= BACKFILL_UNTIL), root, order_key="src_order")
+    window = jobs.refresh_window(AS_OF)
+    clean, _ = jobs.ingest(raw.filter(year_text.isin(window)), root, years=window, order_key="src_order")
+    return read_station_days(spark, clean).groupBy("year", "month").agg(F.count("*").alias("rows"))
+
+
+def q_run_metrics(spark, sf_dir):
+    root = scratch_dir(spark, "metrics")
+    clean, quarantine = jobs.ingest(_raw(spark, sf_dir), root, order_key="src_order")
+    return jobs.run_metrics(spark, clean, quarantine)
+
+
+def _stations_file(spark, sf_dir) -> str:
+    path = scratch_dir(spark, "stations-txt")
+    tables.station_lines(spark, sf_dir).write.text(path)
+    return path
+
+
+def q_stations_build(spark, sf_dir):
+    out = scratch_dir(spark, "stations")
+    return jobs.build_stations(spark, _stations_file(spark, sf_dir), out)
+
+
+def _built_star(spark, sf_dir):
+    root = scratch_dir(spark, "star")
+    clean, _ = jobs.ingest(_raw(spark, sf_dir), root, order_key="src_order")
+    stations = f"{root}/processed/stations.parquet"
+    jobs.build_stations(spark, _stations_file(spark, sf_dir), stations)
+    return jobs.build_star_schema(spark, clean, stations, f"{root}/warehouse")
+
+
+def q_star_schema_counts(spark, sf_dir):
+    built = _built_star(spark, sf_dir)
+    parts = [
+        df.agg(F.lit(name).alias("model"), F.count("*").alias("rows"))
+        for name, df in built.items() if name != "data_tests"
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def q_star_data_tests(spark, sf_dir):
+    return _built_star(spark, sf_dir)["data_tests"]
+
+
+QUERIES = {
+    "csv_roundtrip": q_csv_roundtrip,
+    "parquet_partition_roundtrip": q_parquet_partition_roundtrip,
+    "partition_pruned_months": q_partition_pruned_months,
+    "quarantine_roundtrip": q_quarantine_roundtrip,
+    "year_replace": q_year_replace,
+    "atomic_replace": q_atomic_replace,
+    "bucketed_fact": q_bucketed_fact,
+    "ingest_year": q_ingest_year,
+    "backfill_years": q_backfill_years,
+    "rolling_window": q_rolling_window,
+    "run_metrics": q_run_metrics,
+    "stations_build": q_stations_build,
+    "star_schema_counts": q_star_schema_counts,
+    "star_data_tests": q_star_data_tests,
+}
+
+
+def oracles(w) -> dict[str, str]:
+    """Oracle SQL; ``w(chain, body)`` prefixes the adapter CTEs of ``__spark_entry__``."""
+    o = {}
+    o["csv_roundtrip"] = w("raw", """
+, y AS (SELECT TRY_CAST(substr(date, 1, 4) AS INTEGER) AS file_year, * FROM raw)
+SELECT file_year AS year, count(*) AS total_rows, count(*) FILTER (WHERE starts_with(id, 'CA')) AS ca_rows,
+       count(DISTINCT id) FILTER (WHERE starts_with(id, 'CA')) AS ca_stations,
+       count(DISTINCT id) FILTER (WHERE starts_with(id, 'CA') AND element = 'TMAX') AS tmax_stations,
+       count(DISTINCT id) FILTER (WHERE starts_with(id, 'CA') AND element = 'PRCP') AS prcp_stations,
+       count(DISTINCT id) FILTER (WHERE starts_with(id, 'CA') AND element = 'TAVG') AS tavg_stations,
+       round(count(*) FILTER (WHERE starts_with(id, 'CA')) * 100.0 / count(*), 2) AS ca_pct
+FROM y GROUP BY file_year""")
+    o["parquet_partition_roundtrip"] = w("wide", "SELECT * FROM wide")
+    o["partition_pruned_months"] = w(
+        "wide", f"SELECT month, count(*) AS count FROM wide WHERE year = {REPLACE_YEAR} GROUP BY month")
+    o["quarantine_roundtrip"] = w("rejected", "SELECT year, reason, count(*) AS rows FROM rejected GROUP BY year, reason")
+    o["year_replace"] = w("wide", f"""
+SELECT year, month, count(*) AS rows FROM wide
+WHERE NOT (year = {REPLACE_YEAR} AND month = '{DROPPED_MONTH}') GROUP BY year, month""")
+    o["atomic_replace"] = w("stations", "SELECT * FROM stations")
+    o["bucketed_fact"] = w("mart", f"""
+SELECT observation_year, station_count, tmax_days, station_days, round(tmax_days / station_days, 3) AS tmax_share,
+       round(avg_tmax_c, {ROUND}) AS avg_tmax_c, round(avg_tmin_c, {ROUND}) AS avg_tmin_c,
+       round(avg_tavg_c, {ROUND}) AS avg_tavg_c, round(avg_prcp_mm, {ROUND}) AS avg_prcp_mm,
+       round(avg_snow_mm, {ROUND}) AS avg_snow_mm, round(avg_snwd_mm, {ROUND}) AS avg_snwd_mm
+FROM mart""")
+    o["ingest_year"] = w("wide", f"SELECT * FROM wide WHERE year = {REPLACE_YEAR}")
+    o["backfill_years"] = w("wide", "SELECT year, count(*) AS count FROM wide GROUP BY year")
+    o["rolling_window"] = w("wide", "SELECT year, month, count(*) AS rows FROM wide GROUP BY year, month")
+    o["run_metrics"] = w("rejected", """
+, wide_n AS (SELECT count(*) AS n FROM (SELECT DISTINCT id, date FROM prep WHERE q_flag IS NULL AND date IS NOT NULL))
+SELECT 'station_days' AS metric, (SELECT n FROM wide_n) AS rows
+UNION ALL SELECT 'rejected', (SELECT count(*) FROM rejected)""")
+    o["stations_build"] = w("stations", "SELECT * FROM stations")
+    o["star_schema_counts"] = w("all", """
+SELECT * FROM (VALUES
+ ('raw_stations', (SELECT count(*) FROM stations)),
+ ('raw_observations', (SELECT count(*) FROM wide)),
+ ('stg_observations', (SELECT count(*) FROM fct)),
+ ('stg_stations', (SELECT count(*) FROM dim_station)),
+ ('fct_daily_weather', (SELECT count(*) FROM fct)),
+ ('dim_station', (SELECT count(*) FROM dim_station)),
+ ('dim_date', (SELECT count(*) FROM dim_date)),
+ ('mart_yearly_climate', (SELECT count(*) FROM mart))
+) AS t(model, rows)""")
+    return o

@@ -24,6 +24,7 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "wxs
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("WXSTAR_DRIVER_MEMORY", "8g"))
     )
