@@ -165,6 +165,25 @@ def q_star_data_tests(spark, sf_dir):
     return _built_star(spark, sf_dir)["data_tests"]
 
 
+def q_stream_ingest(spark, sf_dir):
+    """Two landings of yearly CSV folders (up to 1999, then 2000-2001) consumed by the
+    incremental stream; yearly station-day counts of the result."""
+    from wxstar.streaming.incremental import start_incremental_ingest
+
+    landing = scratch_dir(spark, "landing")
+    out = scratch_dir(spark, "stream-out")
+    ckpt = scratch_dir(spark, "stream-ckpt")
+    raw = _raw(spark, sf_dir).select(*OBSERVATION_COLUMNS)
+    year_text = F.substring("date", 1, 4).try_cast("int")
+    for part, cond in (("a", year_text <= BACKFILL_UNTIL), ("b", year_text > BACKFILL_UNTIL)):
+        raw.filter(cond).write.option("compression", "gzip").csv(f"{landing}/{part}")
+        q = start_incremental_ingest(spark, f"{landing}/*", out, checkpoint=ckpt)
+        q.awaitTermination()
+    sd = read_station_days(spark, f"{out}/processed/observations.parquet")
+    return sd.groupBy("year").agg(F.count("*").alias("station_days"), F.countDistinct("id").alias("stations"))
+
+
+
 QUERIES = {
     "csv_roundtrip": q_csv_roundtrip,
     "parquet_partition_roundtrip": q_parquet_partition_roundtrip,
@@ -180,6 +199,7 @@ QUERIES = {
     "stations_build": q_stations_build,
     "star_schema_counts": q_star_schema_counts,
     "star_data_tests": q_star_data_tests,
+    "stream_ingest": q_stream_ingest,
 }
 
 
@@ -217,6 +237,8 @@ FROM mart""")
 SELECT 'station_days' AS metric, (SELECT n FROM wide_n) AS rows
 UNION ALL SELECT 'rejected', (SELECT count(*) FROM rejected)""")
     o["stations_build"] = w("stations", "SELECT * FROM stations")
+    o["stream_ingest"] = w(
+        "wide", "SELECT year, count(*) AS station_days, count(DISTINCT id) AS stations FROM wide GROUP BY year")
     o["star_schema_counts"] = w("all", """
 SELECT * FROM (VALUES
  ('raw_stations', (SELECT count(*) FROM stations)),
@@ -229,3 +251,4 @@ SELECT * FROM (VALUES
  ('mart_yearly_climate', (SELECT count(*) FROM mart))
 ) AS t(model, rows)""")
     return o
+

@@ -32,14 +32,15 @@ def _outputs(root: str) -> tuple[str, str]:
 
 
 def ingest(
-    raw: DataFrame, out_root: str, years: Iterable[int] | None = None, order_key: str | None = None,
+    raw: DataFrame, out_root: str, years: Iterable[int] | str | None = None, order_key: str | None = None,
     country: str = DEFAULT_COUNTRY, elements: list[str] = CORE_ELEMENTS,
 ) -> tuple[str, str]:
     """scan -> prepare -> split -> quarantine write -> pivot -> clean write.
 
     With ``years`` each listed year directory is replaced whole (a rerun of a year is
-    idempotent, a vanished month disappears); without, the outputs are written fresh in
-    one job each (backfill). The prepared scope (already ~14x smaller than the raw scan)
+    idempotent, a vanished month disappears); ``years="from_data"`` replaces the years
+    present in the input (one small distinct over the persisted scope: at most one value
+    per calendar year); without, the outputs are written fresh in one job each (backfill). The prepared scope (already ~14x smaller than the raw scan)
     is persisted because both writes read it; on executor loss its blocks are recomputed
     from the source files.
     """
@@ -52,6 +53,8 @@ def ingest(
             write_partitioned(rejected, quarantine_path)
             write_partitioned(station_days, clean_path)
         else:
+            if years == "from_data":
+                years = [r[0] for r in prepared.select("year").distinct().collect() if r[0] is not None]
             years = sorted(set(years))
             replace_years(rejected, quarantine_path, years)
             replace_years(station_days, clean_path, years)
