@@ -1,0 +1,85 @@
+"""Fixed-width and CSV sources."""
+
+import gzip
+
+import pytest
+
+from wxstar.operators.stations import station_counts, stations_by_province, transform_stations
+from wxstar.schemas import INVENTORY_LAYOUT, STATIONS_LAYOUT
+from wxstar.sources.files import read_observations, read_yearly_extract, year_paths
+from wxstar.sources.fixed_width import parse_fixed_width, read_fixed_width
+
+
+def _station_line(id_, lat, lon, elev, state, name, gsn="", hcn="", wmo=""):
+    line = (
+        f"{id_:<11} {lat:>8} {lon:>9} {elev:>6} {state:<2} {name:<30} {gsn:<3} {hcn:<3} {wmo:<5}"
+    )
+    return line.rstrip()
+
+
+LINES = [
+    _station_line("CA001010066", "48.8667", "-123.2833", "4.0", "BC", "ACTIVE PASS", wmo="71234"),
+    _station_line("CA001010235", "48.4000", "-123.4833", "17.0", "BC", "ALBERT HEAD"),  # blank wmo, short
+    _station_line("CA002400306", "82.5000", "-62.3333", "66.0", "NU", "  ALERT", "GSN", "", "71082"),
+    _station_line("US009999999", "40.0000", "-100.0000", "500.0", "NE", "SOMEWHERE"),
+]
+
+
+def test_fixed_width_stations(spark, tmp_path):
+    p = tmp_path / "stations.txt"
+    p.write_text("\n".join(LINES) + "\n")
+    st = read_fixed_width(spark, str(p), STATIONS_LAYOUT)
+    rows = {r.id: r for r in st.collect()}
+    assert len(LINES[1]) < 85
+    assert rows["CA001010235"].wmo_id is None  # blank -> null
+    assert rows["CA002400306"].name == "ALERT"  # padded name trimmed
+    assert rows["CA001010066"].wmo_id == "71234"
+    ca = transform_stations(st)
+    assert ca.count() == 3  # other country dropped
+    r = ca.filter("id = 'CA001010066'").first()
+    assert r.latitude == 48.8667 and r.elevation == 4.0
+    c = station_counts(ca).first()
+    assert (c.stations, c.wmo_null) == (3, 1)
+    prov = [(r.state, r.stations) for r in stations_by_province(ca).collect()]
+    assert prov == [("BC", 2), ("NU", 1)]
+
+
+def test_blank_as_null_false_keeps_blanks(spark):
+    df = spark.createDataFrame([(LINES[1],)], "value string")
+    r = parse_fixed_width(df, STATIONS_LAYOUT, blank_as_null=False).first()
+    assert r.wmo_id == "" and r.gsn_flag == ""
+
+
+def test_inventory_layout(spark):
+    lines = [
+        "CA001010066  48.8667 -123.2833 TMAX 1990 2025",
+        "CA001010066  48.8667 -123.2833 PRCP 1990 2024",
+        "CA001010235  48.4000 -123.4833 TMAX 1999 2025",
+    ]
+    inv = parse_fixed_width(spark.createDataFrame([(x,) for x in lines], "value string"), INVENTORY_LAYOUT)
+    rows = inv.collect()
+    assert rows[0].element == "TMAX" and rows[0].first_year == "1990" and rows[1].last_year == "2024"
+
+
+def test_csv_gz_multi_year_with_file_year(spark, tmp_path):
+    for year, body in ((2023, 'CA000000001,20230101,TMAX,10,,"",S,\n'), (2024, "CA000000001,20240101,TMAX,20,,,S,0700\n")):
+        with gzip.open(tmp_path / f"{year}.csv.gz", "wt") as f:
+            f.write(body)
+    df = read_observations(spark, year_paths(str(tmp_path), [2023, 2024]), with_file_year=True)
+    rows = sorted(df.collect(), key=lambda r: r.file_year)
+    assert [r.file_year for r in rows] == [2023, 2024]
+    assert rows[0].q_flag is None and rows[1].q_flag is None  # quoted-empty and bare both null
+    assert rows[1].obs_time == "0700"
+
+
+def test_file_without_year_fails(spark, tmp_path):
+    (tmp_path / "latest.csv").write_text("CA000000001,20230101,TMAX,10,,,S,\n")
+    with pytest.raises(Exception, match="cannot infer year"):
+        read_observations(spark, str(tmp_path / "latest.csv"), with_file_year=True).collect()
+
+
+def test_yearly_extract_reader(spark, tmp_path):
+    p = tmp_path / "yearly.csv"
+    p.write_text("observation_year,station_count,avg_tmax_c\n2025,1299,8.41\n1990,2595,9.8\n2026,1151,\n")
+    rows = read_yearly_extract(spark, str(p)).collect()
+    assert [r.observation_year for r in rows] == [1990, 2025]  # blank TMAX dropped, sorted
