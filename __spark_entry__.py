@@ -84,8 +84,15 @@ def q_season_counts(spark, sf_dir):
 
 
 def q_star_join(spark, sf_dir):
+    """Sums are presented as whole tenths: readings are tenths, so these are exact in any
+    engine, where a rounded mean can fall on either side of a tie."""
     s = star_from_tables(spark, sf_dir)
-    return models.star_climate_by_province_season(s.fct, s.dim_station, s.dim_date)
+    out = models.star_climate_by_province_season(s.fct, s.dim_station, s.dim_date)
+    return out.select(
+        "province", "season", "stations", "station_days", "tmax_days", "prcp_days",
+        F.round(F.col("sum_tmax_c") * 10).cast("bigint").alias("tmax_tenths"),
+        F.round(F.col("sum_prcp_mm") * 10).cast("bigint").alias("prcp_tenths"),
+    )
 
 
 def q_stations_by_province(spark, sf_dir):
@@ -337,7 +344,8 @@ _ELEMENTS_SQL = "('TMAX','TMIN','PRCP','TAVG','SNOW','SNWD')"
 _ST = """
 st AS (
   SELECT s.s_suppkey,
-         chr(CAST(65 + n.n_regionkey AS INTEGER)) || chr(CAST(65 + floor(n.n_nationkey / 5) AS INTEGER))
+         ['AG','AR','BR','CA','EG','ET','FR','GM','IN','ID','IR','IZ','JA',
+          'JO','KE','MO','MZ','PE','CH','RO','SA','VM','RS','UK','US'][n.n_nationkey + 1]
            || lpad(CAST(s.s_suppkey AS VARCHAR), 9, '0') AS id,
          CAST(CAST(42 + s.s_acctbal / 1000 AS DECIMAL(8,5)) AS VARCHAR) AS latitude,
          CAST(CAST(-60 - s.s_acctbal / 1000 AS DECIMAL(8,5)) AS VARCHAR) AS longitude,
@@ -524,7 +532,8 @@ FROM mart""")
     o["season_counts"] = _with("dims", "SELECT season, count(*) AS days FROM dim_date GROUP BY season")
     o["star_join"] = _with("dims", """
 SELECT s.province, d.season, count(DISTINCT f.station_id) AS stations, count(*) AS station_days,
-       round(avg(f.tmax_c), 4) AS avg_tmax_c, round(avg(f.prcp_mm), 4) AS avg_prcp_mm
+       count(f.tmax_c) AS tmax_days, count(f.prcp_mm) AS prcp_days,
+       CAST(round(sum(f.tmax_c) * 10) AS BIGINT) AS tmax_tenths, CAST(round(sum(f.prcp_mm) * 10) AS BIGINT) AS prcp_tenths
 FROM fct f JOIN dim_date d ON f.observation_date = d.date_day JOIN dim_station s ON f.station_id = s.station_id
 GROUP BY s.province, d.season""")
     o["stations_by_province"] = _with("stations", "SELECT state, count(*) AS stations FROM stations GROUP BY state")

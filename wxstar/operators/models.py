@@ -123,7 +123,13 @@ def star_climate_by_province_season(
         .agg(
             F.countDistinct("station_id").alias("stations"),
             F.sum("n").alias("station_days"),
-            F.round(F.try_divide(F.sum("s_tmax"), F.sum("n_tmax")), 4).alias("avg_tmax_c"),
-            F.round(F.try_divide(F.sum("s_prcp"), F.sum("n_prcp")), 4).alias("avg_prcp_mm"),
+            F.sum("n_tmax").alias("tmax_days"),
+            F.sum("s_tmax").alias("sum_tmax_c"),
+            F.sum("n_prcp").alias("prcp_days"),
+            F.sum("s_prcp").alias("sum_prcp_mm"),
         )
+        .withColumns({
+            "avg_tmax_c": F.try_divide(F.col("sum_tmax_c"), F.col("tmax_days")),
+            "avg_prcp_mm": F.try_divide(F.col("sum_prcp_mm"), F.col("prcp_days")),
+        })
     )

@@ -50,7 +50,8 @@ def low_year(mart: DataFrame, value: str = "avg_tmax_c", year_col: str = "observ
     best = mart.filter(F.col(value).isNotNull()).agg(
         F.min(F.struct(F.col(value).alias("v"), F.col(year_col).alias("y"))).alias("m")
     )
-    return best.select(F.col("m.y").alias(year_col), F.col("m.v").alias(value))
+    # a global aggregate always yields one row; no year with a value means no row at all
+    return best.filter(F.col("m").isNotNull()).select(F.col("m.y").alias(year_col), F.col("m.v").alias(value))
 
 
 def first_last_complete(

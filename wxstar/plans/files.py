@@ -20,7 +20,7 @@ from wxstar.schemas import OBSERVATION_COLUMNS, RAW_STATIONS_SCHEMA
 from wxstar.session import scratch_dir
 from wxstar.sinks import parquet as sinks
 from wxstar.sources import tables
-from wxstar.sources.files import read_observations, read_station_days
+from wxstar.sources.files import read_observations, read_quarantine, read_station_days
 
 REPLACE_YEAR = 1998
 DROPPED_MONTH = "02"
@@ -64,7 +64,7 @@ def q_partition_pruned_months(spark, sf_dir):
 def q_quarantine_roundtrip(spark, sf_dir):
     root = scratch_dir(spark, "quarantine")
     path = sinks.write_quarantine(star_from_tables(spark, sf_dir).rejected, root)
-    back = spark.read.parquet(path)
+    back = read_quarantine(spark, path)
     return back.groupBy("year", "reason").agg(F.count("*").alias("rows"))
 
 

@@ -22,7 +22,13 @@ from wxstar.schemas import (
     STATIONS_LAYOUT,
 )
 from wxstar.sinks.parquet import materialize, replace_years, write_partitioned, write_stations
-from wxstar.sources.files import read_observations, read_station_days, read_stations_parquet, year_paths
+from wxstar.sources.files import (
+    read_observations,
+    read_quarantine,
+    read_station_days,
+    read_stations_parquet,
+    year_paths,
+)
 from wxstar.sources.fixed_width import read_fixed_width
 
 
@@ -92,7 +98,7 @@ def run_metrics(spark: SparkSession, clean_path: str, quarantine_path: str) -> D
     """Station-days written and rows quarantined, from the written files (a Parquet count
     is answered from file metadata, no re-computation of the pipeline)."""
     sd = read_station_days(spark, clean_path).agg(F.lit("station_days").alias("metric"), F.count("*").alias("rows"))
-    rj = spark.read.parquet(quarantine_path).agg(F.lit("rejected").alias("metric"), F.count("*").alias("rows"))
+    rj = read_quarantine(spark, quarantine_path).agg(F.lit("rejected").alias("metric"), F.count("*").alias("rows"))
     return sd.unionByName(rj)
 
 

@@ -87,6 +87,23 @@ STATION_DAY_SCHEMA = StructType(
     ]
 )
 
+# Quarantined long rows as written (year and month are partition columns).
+QUARANTINE_SCHEMA = StructType(
+    [
+        StructField("id", StringType()),
+        StructField("date", DateType()),
+        StructField("element", StringType()),
+        StructField("data_value", IntegerType()),
+        StructField("m_flag", StringType()),
+        StructField("q_flag", StringType()),
+        StructField("s_flag", StringType()),
+        StructField("obs_time", StringType()),
+        StructField("reason", StringType()),
+        StructField("year", IntegerType()),
+        StructField("month", StringType()),
+    ]
+)
+
 # Warehouse table definitions (raw layer).
 RAW_STATIONS_SCHEMA = StructType(
     [

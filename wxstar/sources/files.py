@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wxstar.functions.scalar import year_from_path
 from wxstar.schemas import (
     OBSERVATION_SCHEMA,
+    QUARANTINE_SCHEMA,
     RAW_STATIONS_SCHEMA,
     STATION_DAY_SCHEMA,
     YEARLY_EXTRACT_SCHEMA,
@@ -43,6 +44,11 @@ def read_station_days(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STATION_DAY_SCHEMA).parquet(path)
 
 
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """Quarantined rows with their fixed schema (an empty quarantine reads as no rows)."""
+    return spark.read.schema(QUARANTINE_SCHEMA).parquet(path)
+
+
 def read_stations_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW_STATIONS_SCHEMA).parquet(path)
 

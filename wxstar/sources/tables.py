@@ -23,8 +23,13 @@ from pyspark.sql import functions as F
 LINE_ELEMENTS = ["TMAX", "TMIN", "PRCP", "TAVG", "SNOW", "SNWD", "WT01"]
 # Province / territory codes handed out to stations round-robin by supplier key.
 PROVINCES = ["AB", "BC", "MB", "NB", "NL", "NS", "NT", "NU", "ON", "PE", "QC", "SK", "YT"]
-# Country code of a nation: letter (A + region key) followed by letter (A + nation key div 5).
-# Nation 2 (region 2) becomes "CA".
+# Country code of a nation, by nation key 0..24: the nations of the TPC-H specification in
+# key order, written as FIPS 10-4 two-letter codes (the station ids' country prefix).
+# Key 3 (Canada) is "CA"; key 24 (United States) is "US".
+NATION_CODES = [
+    "AG", "AR", "BR", "CA", "EG", "ET", "FR", "GM", "IN", "ID", "IR", "IZ", "JA",
+    "JO", "KE", "MO", "MZ", "PE", "CH", "RO", "SA", "VM", "RS", "UK", "US",
+]
 # ---------------------------------------------------------------------------
 
 
@@ -33,10 +38,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _country_code() -> Column:
-    return F.concat(
-        F.char(F.lit(65) + F.col("n_regionkey")),
-        F.char(F.lit(65) + F.floor(F.col("n_nationkey") / 5)),
-    )
+    return F.try_element_at(F.array(*[F.lit(c) for c in NATION_CODES]), F.col("n_nationkey") + 1)
 
 
 def _station_id() -> Column:
@@ -49,7 +51,7 @@ def supplier_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``nation`` has 25 rows; Spark's size-based join selection broadcasts it.
     """
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
-    nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    nat = table(spark, sf_dir, "nation").select("n_nationkey")
     bal = F.col("s_acctbal")
     return sup.join(nat, sup.s_nationkey == nat.n_nationkey).select(
         "s_suppkey",
