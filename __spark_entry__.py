@@ -704,7 +704,7 @@ SELECT coalesce(m.observation_year, p.observation_year) AS observation_year,
        m.station_days AS mart_station_days, p.station_days AS profile_station_days,
        m.station_days - p.station_days AS diff_station_days
 FROM mart m FULL OUTER JOIN prof p ON m.observation_year = p.observation_year""")
-    o["rerun_diff"] = _with("wide", "SELECT *, 'x' AS side FROM wide WHERE false")
+    o["rerun_diff"] = _with("wide", "SELECT *, 'x' AS side, CAST(0 AS BIGINT) AS copies FROM wide WHERE false")
     o.update(file_plans.oracles(_with))
     o["star_data_tests"] = o["data_tests"]
     return o

@@ -74,6 +74,6 @@ def test_reconcile_full_outer(spark):
 def test_rerun_diff(spark):
     a = spark.createDataFrame([(1, "x"), (1, "x"), (2, "y")], "k int, v string")
     b = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "k int, v string")
-    rows = sorted((r.k, r.side) for r in validation.rerun_diff(a, b).collect())
-    assert rows == [(1, "old_only"), (3, "new_only")]
+    rows = sorted((r.k, r.side, r.copies) for r in validation.rerun_diff(a, b).collect())
+    assert rows == [(1, "old_only", 1), (3, "new_only", 1)]
     assert validation.rerun_diff(a, a).count() == 0

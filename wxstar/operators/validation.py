@@ -28,16 +28,23 @@ def check_unique(df: DataFrame, columns: str | Sequence[str]) -> DataFrame:
     return df.filter(present).groupBy(*keys).agg(F.count("*").alias("n_records")).filter(F.col("n_records") > 1)
 
 
+def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    """Distinct non-null child keys without a parent (column ``orphan_key``)."""
+    keys = child.select(F.col(column).alias("orphan_key")).filter(F.col("orphan_key").isNotNull()).distinct()
+    p = parent.select(F.col(parent_column).alias("__parent_key"))
+    return keys.join(p, F.col("orphan_key") == F.col("__parent_key"), "left_anti")
+
+
 def check_relationships(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Child rows whose non-null key has no parent (a null key is not an orphan).
 
-    A left-anti join; Spark broadcasts the parent only when its statistics say it is
-    small, otherwise both sides are shuffled on the key.
+    Two phases, so the child's rows never meet the parent directly: its distinct keys
+    (map-side deduplicated, so a hot key costs one row) are anti-joined with the parent,
+    then the child is semi-joined with the orphan keys. Those are usually few, and AQE
+    broadcasts them from their measured size; many orphans fall back to a shuffle join.
     """
-    p = parent.select(F.col(parent_column).alias("__parent_key"))
-    return child.filter(F.col(column).isNotNull()).join(
-        p, F.col(column) == F.col("__parent_key"), "left_anti"
-    )
+    orphans = orphan_keys(child, column, parent, parent_column)
+    return child.join(orphans, F.col(column) == F.col("orphan_key"), "left_semi")
 
 
 def check_accepted_values(df: DataFrame, column: str, values: Sequence[str] = SEASONS) -> DataFrame:
@@ -164,10 +171,18 @@ def reconcile(
 
 
 def rerun_diff(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Rows present in one run and not the other, duplicates respected (``EXCEPT ALL``
-    both ways), tagged with the side they come from. Empty = identical outputs."""
+    """Rows whose multiplicity differs between two runs: each distinct differing row
+    once, with the side holding the surplus and how many ``copies`` more it holds
+    (``EXCEPT ALL`` both ways, in counted form). Empty = identical outputs.
+
+    One shuffle on the row values with a signed partial count, so a row repeated
+    millions of times costs one record per task, never an expanded list.
+    """
     cols = old.columns
-    return (
-        old.exceptAll(new.select(*cols)).withColumn("side", F.lit("old_only"))
-        .unionByName(new.select(*cols).exceptAll(old).withColumn("side", F.lit("new_only")))
+    tagged = old.withColumn("__d", F.lit(1)).unionByName(new.select(*cols).withColumn("__d", F.lit(-1)))
+    counted = tagged.groupBy(*cols).agg(F.sum("__d").alias("__d")).filter(F.col("__d") != 0)
+    return counted.select(
+        *cols,
+        F.when(F.col("__d") > 0, F.lit("old_only")).otherwise(F.lit("new_only")).alias("side"),
+        F.abs("__d").alias("copies"),
     )

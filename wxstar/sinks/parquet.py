@@ -20,10 +20,12 @@ PARTITION_COLS = ("year", "month")
 
 
 def write_partitioned(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """``year=/month=`` layout; rows are clustered by (year, month) first so each month
-    is written by one task into one file instead of one file per input task."""
+    """``year=/month=`` layout. Rows are clustered by (year, month) with a ``rebalance``
+    hint rather than ``repartition``: a month still lands in few files, but with AQE a
+    month holding a large share of the rows is split over several tasks (and tiny months
+    are coalesced) instead of running as one straggler."""
     (
-        df.repartition(*PARTITION_COLS)
+        df.hint("rebalance", *PARTITION_COLS)
         .write.mode(mode)
         .partitionBy(*PARTITION_COLS)
         .parquet(path)
@@ -53,7 +55,7 @@ def replace_years(df: DataFrame, path: str, years: Iterable[int]) -> None:
     for y in sorted(set(years)):
         part = df.filter(F.col("year") == y).drop("year")
         (
-            part.repartition("month")
+            part.hint("rebalance", "month")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
             .partitionBy("month")
