@@ -18,6 +18,7 @@ from wxstar.operators.observations import prepare_observations, split_by_quality
 from wxstar.plans import files as file_plans
 from wxstar.plans.star import star_from_tables
 from wxstar.schemas import INVENTORY_LAYOUT, STATIONS_LAYOUT
+from wxstar.session import scratch_dir
 from wxstar.sources import tables
 from wxstar.sources.fixed_width import parse_fixed_width
 
@@ -251,8 +252,18 @@ def q_calendar_gaps(spark, sf_dir):
 
 
 def q_data_tests(spark, sf_dir):
+    """The 26 tests over the star built from the tables. The two raw tables are
+    checkpointed (reliably, to the shared checkpoint folder) so the tests read them
+    instead of re-deriving the pivot in every branch."""
+    scratch_dir(spark)  # ensures a checkpoint folder where the session has none
     s = star_from_tables(spark, sf_dir)
-    return validation.run_data_tests(s.stations, s.raw_obs_table, s.dim_date, s.dim_station, s.fct, s.mart)
+    raw_obs = s.raw_obs_table.checkpoint()
+    stations = s.stations.checkpoint()
+    fct = models.fct_daily_weather(models.stg_observations(raw_obs))
+    dim_st = models.dim_station(models.stg_stations(stations))
+    return validation.run_data_tests(
+        stations, raw_obs, models.dim_date(fct), dim_st, fct, models.mart_yearly_climate(fct)
+    )
 
 
 def q_reconcile_years(spark, sf_dir):

@@ -74,35 +74,48 @@ def calendar_gaps(df: DataFrame, date_col: str = "observation_date") -> DataFram
 # --- the 26 declared tests ---------------------------------------------------
 
 
-def _count_test(name: str, model: str, column: str, failures: Column | DataFrame) -> DataFrame:
-    if isinstance(failures, DataFrame):
-        agg = failures.agg(F.count("*").alias("failures"))
-    else:
-        raise TypeError("failures must be a DataFrame")
+def _as_rows(agg: DataFrame, tests: list[tuple[str, str, str]]) -> DataFrame:
+    """One-row aggregate with a column per test name -> one row per test."""
     return agg.select(
-        F.lit(name).alias("test_name"), F.lit(model).alias("model"), F.lit(column).alias("column_name"),
-        F.col("failures"),
-    )
-
-
-def _not_null_tests(df: DataFrame, model: str, columns: Sequence[str]) -> DataFrame:
-    """All not_null tests of one model in one scan, one output row per column."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    return counts.select(
         F.inline(
             F.array(
                 *[
                     F.struct(
-                        F.lit(f"not_null_{model}_{c}").alias("test_name"), F.lit(model).alias("model"),
-                        F.lit(c).alias("column_name"), F.col(c).alias("failures"),
+                        F.lit(name).alias("test_name"), F.lit(model).alias("model"),
+                        F.lit(column).alias("column_name"),
+                        F.coalesce(F.col(name).cast("long"), F.lit(0).cast("long")).alias("failures"),
                     )
-                    for c in columns
+                    for name, model, column in tests
                 ]
             )
         )
     )
 
 
+def _key_counts(df: DataFrame, key: str, **flags: Column) -> DataFrame:
+    """Rows per key value (null included) plus per-key counts of flagged rows: one
+    shuffle of partially aggregated rows, however hot a key is."""
+    return df.groupBy(F.col(key).alias("k")).agg(
+        F.count("*").alias("n"), *[F.count_if(c).alias(f) for f, c in flags.items()]
+    )
+
+
+def _null_rows():
+    return F.sum(F.when(F.col("k").isNull(), F.col("n")))
+
+
+def _dup_keys():
+    return F.count_if(F.col("k").isNotNull() & (F.col("n") > 1))
+
+
+def _orphan_rows(keys: DataFrame, parent: DataFrame, parent_column: str, name: str) -> DataFrame:
+    """Child rows without a parent, counted from the child's distinct keys: only keys are
+    anti-joined, and their row counts are summed."""
+    p = parent.select(F.col(parent_column).alias("__parent_key"))
+    orphans = keys.filter(F.col("k").isNotNull()).join(p, F.col("k") == F.col("__parent_key"), "left_anti")
+    return orphans.agg(F.sum("n").alias(name))
+
+
 def run_data_tests(
     raw_stations: DataFrame, raw_observations: DataFrame, dim_date: DataFrame, dim_station: DataFrame,
     fct: DataFrame, mart: DataFrame,
@@ -111,33 +124,88 @@ def run_data_tests(
 
     Failures count null rows (not_null), duplicated key values (unique), orphan child rows
     (relationships), unaccepted distinct values (accepted_values) and violating rows
-    (tmax below tmin). not_null tests of a model share one scan.
+    (tmax below tmin). Each table is aggregated once per key column: a ``groupBy(key)``
+    with counts answers not_null, unique and row-level checks together, and relationships
+    anti-join only the distinct keys. The fact is read twice (by station, by date).
     """
-    parts = [
-        _not_null_tests(raw_stations, "raw_stations", ["id"]),
-        _count_test("unique_raw_stations_id", "raw_stations", "id", check_unique(raw_stations, "id")),
-        _not_null_tests(raw_observations, "raw_observations", ["id", "date"]),
-        _count_test(
-            "relationships_raw_observations_id", "raw_observations", "id",
-            check_relationships(raw_observations, "id", raw_stations, "id"),
-        ),
-        _count_test("unique_dim_date_date_day", "dim_date", "date_day", check_unique(dim_date, "date_day")),
-        _not_null_tests(dim_date, "dim_date", ["date_day", "year", "month", "day"]),
-        _count_test("accepted_values_dim_date_season", "dim_date", "season", check_accepted_values(dim_date, "season")),
-        _count_test("unique_dim_station_station_id", "dim_station", "station_id", check_unique(dim_station, "station_id")),
-        _not_null_tests(dim_station, "dim_station", ["station_id", "latitude", "longitude", "elevation_m", "station_name"]),
-        _not_null_tests(fct, "fct_daily_weather", ["station_id", "observation_date"]),
-        _count_test(
-            "relationships_fct_daily_weather_station_id", "fct_daily_weather", "station_id",
-            check_relationships(fct, "station_id", dim_station, "station_id"),
+    isnull = lambda c: F.col(c).isNull()
+    parts = []
+
+    st = _key_counts(raw_stations, "id")
+    parts.append(_as_rows(
+        st.agg(_null_rows().alias("not_null_raw_stations_id"), _dup_keys().alias("unique_raw_stations_id")),
+        [("not_null_raw_stations_id", "raw_stations", "id"), ("unique_raw_stations_id", "raw_stations", "id")],
+    ))
+
+    ob = _key_counts(raw_observations, "id", nd=isnull("date"))
+    parts.append(_as_rows(
+        ob.agg(_null_rows().alias("not_null_raw_observations_id"), F.sum("nd").alias("not_null_raw_observations_date")),
+        [("not_null_raw_observations_id", "raw_observations", "id"),
+         ("not_null_raw_observations_date", "raw_observations", "date")],
+    ))
+    parts.append(_as_rows(
+        _orphan_rows(ob, raw_stations, "id", "relationships_raw_observations_id"),
+        [("relationships_raw_observations_id", "raw_observations", "id")],
+    ))
+
+    dd = _key_counts(dim_date, "date_day", y=isnull("year"), m=isnull("month"), d=isnull("day"))
+    parts.append(_as_rows(
+        dd.agg(
+            _dup_keys().alias("unique_dim_date_date_day"), _null_rows().alias("not_null_dim_date_date_day"),
+            F.sum("y").alias("not_null_dim_date_year"), F.sum("m").alias("not_null_dim_date_month"),
+            F.sum("d").alias("not_null_dim_date_day"),
         ),
-        _count_test(
-            "relationships_fct_daily_weather_observation_date", "fct_daily_weather", "observation_date",
-            check_relationships(fct, "observation_date", dim_date, "date_day"),
+        [("unique_dim_date_date_day", "dim_date", "date_day"), ("not_null_dim_date_date_day", "dim_date", "date_day"),
+         ("not_null_dim_date_year", "dim_date", "year"), ("not_null_dim_date_month", "dim_date", "month"),
+         ("not_null_dim_date_day", "dim_date", "day")],
+    ))
+    parts.append(_as_rows(
+        check_accepted_values(dim_date, "season").agg(F.count("*").alias("accepted_values_dim_date_season")),
+        [("accepted_values_dim_date_season", "dim_date", "season")],
+    ))
+
+    ds = _key_counts(dim_station, "station_id", la=isnull("latitude"), lo=isnull("longitude"),
+                     el=isnull("elevation_m"), nm=isnull("station_name"))
+    parts.append(_as_rows(
+        ds.agg(
+            _dup_keys().alias("unique_dim_station_station_id"), _null_rows().alias("not_null_dim_station_station_id"),
+            F.sum("la").alias("not_null_dim_station_latitude"), F.sum("lo").alias("not_null_dim_station_longitude"),
+            F.sum("el").alias("not_null_dim_station_elevation_m"), F.sum("nm").alias("not_null_dim_station_station_name"),
         ),
-        _not_null_tests(mart, "mart_yearly_climate", ["observation_year", "station_count", "tmax_days", "station_days"]),
-        _count_test("assert_tmax_not_below_tmin", "fct_daily_weather", "tmax_c", check_tmax_not_below_tmin(fct)),
-    ]
+        [("unique_dim_station_station_id", "dim_station", "station_id"),
+         ("not_null_dim_station_station_id", "dim_station", "station_id"),
+         ("not_null_dim_station_latitude", "dim_station", "latitude"),
+         ("not_null_dim_station_longitude", "dim_station", "longitude"),
+         ("not_null_dim_station_elevation_m", "dim_station", "elevation_m"),
+         ("not_null_dim_station_station_name", "dim_station", "station_name")],
+    ))
+
+    fs = _key_counts(fct, "station_id", bad=F.col("tmax_c") < F.col("tmin_c"))
+    fd = _key_counts(fct, "observation_date")
+    parts.append(_as_rows(
+        fs.agg(_null_rows().alias("not_null_fct_daily_weather_station_id"), F.sum("bad").alias("assert_tmax_not_below_tmin")),
+        [("not_null_fct_daily_weather_station_id", "fct_daily_weather", "station_id"),
+         ("assert_tmax_not_below_tmin", "fct_daily_weather", "tmax_c")],
+    ))
+    parts.append(_as_rows(
+        fd.agg(_null_rows().alias("not_null_fct_daily_weather_observation_date")),
+        [("not_null_fct_daily_weather_observation_date", "fct_daily_weather", "observation_date")],
+    ))
+    parts.append(_as_rows(
+        _orphan_rows(fs, dim_station, "station_id", "relationships_fct_daily_weather_station_id"),
+        [("relationships_fct_daily_weather_station_id", "fct_daily_weather", "station_id")],
+    ))
+    parts.append(_as_rows(
+        _orphan_rows(fd, dim_date, "date_day", "relationships_fct_daily_weather_observation_date"),
+        [("relationships_fct_daily_weather_observation_date", "fct_daily_weather", "observation_date")],
+    ))
+
+    mart_cols = ["observation_year", "station_count", "tmax_days", "station_days"]
+    parts.append(_as_rows(
+        mart.agg(*[F.count_if(isnull(c)).alias(f"not_null_mart_yearly_climate_{c}") for c in mart_cols]),
+        [(f"not_null_mart_yearly_climate_{c}", "mart_yearly_climate", c) for c in mart_cols],
+    ))
+
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
