@@ -122,3 +122,14 @@ def test_star_schema_build(spark, tmp_path):
     assert built["mart_yearly_climate"].first().station_days == 2
     assert all(r.failures == 0 for r in built["data_tests"].collect())
     assert isinstance(models.OBSERVATION_RENAMES, dict)
+
+
+def test_conform_orders_casts_and_rejects_missing(spark):
+    df = spark.createDataFrame([("1.5", "CA1", "x")], "latitude string, id string, extra string")
+    from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+
+    schema = StructType([StructField("id", StringType()), StructField("latitude", DoubleType())])
+    out = sinks.conform(df, schema)
+    assert out.columns == ["id", "latitude"] and out.first().latitude == 1.5
+    with pytest.raises(ValueError, match="missing"):
+        sinks.conform(df.drop("id"), schema)

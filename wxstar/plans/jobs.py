@@ -21,7 +21,7 @@ from wxstar.schemas import (
     RAW_STATIONS_SCHEMA,
     STATIONS_LAYOUT,
 )
-from wxstar.sinks.parquet import materialize, replace_years, write_partitioned, write_stations
+from wxstar.sinks.parquet import conform, materialize, replace_years, write_partitioned, write_stations
 from wxstar.sources.files import (
     read_observations,
     read_quarantine,
@@ -108,7 +108,7 @@ def build_stations(
     """Fixed-width station file -> the country's typed stations -> Parquet (full
     overwrite). Returns the written table read back."""
     stations = transform_stations(read_fixed_width(spark, source_path, STATIONS_LAYOUT), country)
-    write_stations(stations.select(*[f.name for f in RAW_STATIONS_SCHEMA.fields]), out_path)
+    write_stations(conform(stations, RAW_STATIONS_SCHEMA), out_path)
     return read_stations_parquet(spark, out_path)
 
 
@@ -121,7 +121,7 @@ def build_star_schema(
     """
     from wxstar.sinks.parquet import table_name
 
-    raw_obs = read_station_days(spark, observations_path).select(*[f.name for f in RAW_OBSERVATIONS_SCHEMA.fields])
+    raw_obs = conform(read_station_days(spark, observations_path), RAW_OBSERVATIONS_SCHEMA)
     raw_st = read_stations_parquet(spark, stations_path)
     stg, mart_ns = table_name("staging", target), table_name("marts", target)
     root = out_root.rstrip("/")

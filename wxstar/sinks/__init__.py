@@ -3,6 +3,7 @@ materialisation and output namespaces."""
 
 from wxstar.sinks.parquet import (  # noqa: F401
     atomic_replace,
+    conform,
     materialize,
     replace_years,
     table_name,

@@ -68,6 +68,17 @@ def write_stations(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def conform(df: DataFrame, schema: StructType) -> DataFrame:
+    """Columns of a declared table, by name and in declared order, each cast to its
+    declared type (``try_cast``: a value that does not fit becomes null and is then caught
+    by the not_null tests, since Spark does not enforce NOT NULL on file writes). A
+    missing column is an error before anything is written."""
+    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"missing columns for the declared table: {missing}")
+    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def atomic_replace(
     spark: SparkSession, df: DataFrame, table_root: str, name: str, schema: StructType | None = None,
     expected_rows: int | None = None,
@@ -79,9 +90,8 @@ def atomic_replace(
     view here; a catalog ``CREATE OR REPLACE`` on a metastore). A failed write leaves the
     previous version serving. Columns are selected by name in the declared order.
     """
-    cols = [f.name for f in schema.fields] if schema else df.columns
     version = f"{table_root.rstrip('/')}/{name}/v-{uuid.uuid4().hex[:12]}"
-    df.select(*cols).write.mode("errorifexists").parquet(version)
+    (conform(df, schema) if schema else df).write.mode("errorifexists").parquet(version)
     loaded = spark.read.schema(schema).parquet(version) if schema else spark.read.parquet(version)
     if expected_rows is not None:
         n = loaded.count()
