@@ -269,10 +269,7 @@ def q_data_tests(spark, sf_dir):
 def q_reconcile_years(spark, sf_dir):
     """Mart counts against counts profiled directly from the clean long rows."""
     s = star_from_tables(spark, sf_dir)
-    profiled = s.clean.groupBy(F.col("year").alias("observation_year")).agg(
-        F.countDistinct("id").alias("station_count"),
-        F.countDistinct("id", "date").alias("station_days"),
-    )
+    profiled = profiling.yearly_station_days(s.clean)
     return validation.reconcile(s.mart, profiled, "observation_year", ["station_count", "station_days"],
                                 "mart", "profile")
 

@@ -67,8 +67,8 @@ def calendar_gaps(df: DataFrame, date_col: str = "observation_date") -> DataFram
     """
     bounds = df.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))
     days = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("missing_date"))
-    seen = df.select(F.col(date_col).alias("__d")).distinct()
-    return days.join(seen, F.col("missing_date") == F.col("__d"), "left_anti")
+    seen = df.select(F.col(date_col).alias("__d")).distinct()  # at most one row per day in range
+    return days.join(F.broadcast(seen), F.col("missing_date") == F.col("__d"), "left_anti")
 
 
 # --- the 26 declared tests ---------------------------------------------------

@@ -15,6 +15,10 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Large scans: fewer, fuller input splits; AQE targets ~256 MB post-shuffle partitions
+    # (start spark.sql.shuffle.partitions high on a cluster and let AQE coalesce).
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
 }
 
 
