@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wxstar.operators import models, profiling, stations as st_ops, trends, validation
-from wxstar.operators.observations import prepare_observations, split_by_quality
+from wxstar.operators.observations import element_units
 from wxstar.plans import files as file_plans
 from wxstar.plans.star import star_from_tables
 from wxstar.schemas import INVENTORY_LAYOUT, STATIONS_LAYOUT
@@ -55,6 +55,10 @@ def q_wide_station_days(spark, sf_dir):
     return star_from_tables(spark, sf_dir).station_days
 
 
+def q_scaled_elements(spark, sf_dir):
+    return element_units(star_from_tables(spark, sf_dir).station_days)
+
+
 def q_prepare_scope(spark, sf_dir):
     return star_from_tables(spark, sf_dir).prepared
 
@@ -283,6 +287,7 @@ def q_rerun_diff(spark, sf_dir):
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "yearly_mart": q_yearly_mart,
     "wide_station_days": q_wide_station_days,
+    "scaled_elements": q_scaled_elements,
     "prepare_scope": q_prepare_scope,
     "quality_clean": q_quality_clean,
     "quality_rejected": q_quality_rejected,
@@ -531,6 +536,10 @@ SELECT observation_year, station_count, tmax_days, station_days,
        {_rr('avg_snow_mm')}, {_rr('avg_snwd_mm')}
 FROM mart""")
     o["wide_station_days"] = _with("wide", "SELECT * FROM wide")
+    o["scaled_elements"] = _with("wide", " UNION ALL ".join(
+        f"SELECT '{c}' AS element, {d} AS divisor, count({c}) AS cells, "
+        f"CAST(round(coalesce(sum({c}), 0) * 10) AS BIGINT) AS value_tenths FROM wide"
+        for c, d in (("tmax", 10), ("tmin", 10), ("prcp", 10), ("tavg", 10), ("snow", 1), ("snwd", 1))))
     o["prepare_scope"] = _with("prep", "SELECT * FROM prep")
     o["quality_clean"] = _with("clean", "SELECT * FROM clean")
     o["quality_rejected"] = _with("rejected", "SELECT * FROM rejected")

@@ -104,3 +104,19 @@ def station_days_from_raw(
     """prepare -> clean half of the split -> pivot -> scale, as one lazy plan."""
     clean, _ = split_by_quality(prepare_observations(raw, country, elements))
     return transform_observations(clean, order_key, elements)
+
+
+def element_units(station_days: DataFrame, elements: list[str] = CORE_ELEMENTS, scale: dict[str, int] = SCALE) -> DataFrame:
+    """Unit audit of the wide rows: per element, its divisor, the number of filled cells
+    and the sum of the stored values (as whole tenths, exact). Snow and snow depth must
+    come out ten times their tenths-element peers' scale, i.e. undivided."""
+    cols = [element_column(e) for e in elements]
+    long = station_days.select("id", "date", *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+        ["id", "date"], cols, "element", "value"
+    )
+    divisor = F.create_map(*[x for e in elements for x in (F.lit(element_column(e)), F.lit(scale.get(e, 1)))])
+    return long.groupBy("element").agg(
+        F.first(divisor[F.col("element")]).alias("divisor"),
+        F.count("value").alias("cells"),
+        F.round(F.coalesce(F.sum("value"), F.lit(0.0)) * 10).cast("bigint").alias("value_tenths"),
+    )
