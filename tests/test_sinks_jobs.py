@@ -133,3 +133,16 @@ def test_conform_orders_casts_and_rejects_missing(spark):
     assert out.columns == ["id", "latitude"] and out.first().latitude == 1.5
     with pytest.raises(ValueError, match="missing"):
         sinks.conform(df.drop("id"), schema)
+
+
+def test_csv_duplicates_take_first_row_in_file(spark, tmp_path):
+    src = tmp_path / "dup"
+    src.mkdir()
+    with gzip.open(src / "2024.csv.gz", "wt") as f:
+        f.write("CA000000002,20240201,PRCP,30,,,S,\n")
+        f.write("CA000000002,20240201,PRCP,10,,,S,\n")
+        f.write("CA000000002,20240202,PRCP,5,,,S,\n")
+        f.write("CA000000002,20240202,PRCP,70,,,S,\n")
+    clean, _ = jobs.ingest_year(spark, str(src), str(tmp_path / "o"), 2024)
+    got = {r.date.day: r.prcp for r in read_station_days(spark, clean).collect()}
+    assert got == {1: 3.0, 2: 0.5}

@@ -27,6 +27,7 @@ from wxstar.sources.files import (
     read_quarantine,
     read_station_days,
     read_stations_parquet,
+    with_source_order,
     year_paths,
 )
 from wxstar.sources.fixed_width import read_fixed_width
@@ -51,7 +52,10 @@ def ingest(
     from the source files.
     """
     clean_path, quarantine_path = _outputs(out_root)
-    prepared = prepare_observations(raw, country, elements).persist(StorageLevel.MEMORY_AND_DISK)
+    prepared = prepare_observations(raw, country, elements)
+    if order_key is None and "src_file" in prepared.columns:
+        prepared, order_key = with_source_order(prepared), "src_order"  # first row in file order
+    prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         clean, rejected = split_by_quality(prepared)
         station_days = transform_observations(clean, order_key, elements)
@@ -71,13 +75,14 @@ def ingest(
 
 def ingest_year(spark: SparkSession, source_prefix: str, out_root: str, year: int) -> tuple[str, str]:
     """The one-year job: ``{source_prefix}/{year}.csv.gz`` -> that year's partitions."""
-    return ingest(read_observations(spark, year_paths(source_prefix, [year])), out_root, years=[year])
+    raw = read_observations(spark, year_paths(source_prefix, [year]), with_position=True)
+    return ingest(raw, out_root, years=[year])
 
 
 def backfill(spark: SparkSession, source_prefix: str, out_root: str, first: int, last: int) -> tuple[str, str]:
     """All years in one job: one scan over every yearly file (one task per ``.gz``), one
     shuffle for the pivot, fresh outputs. Replaces the one-run-per-year submission loop."""
-    raw = read_observations(spark, year_paths(source_prefix, range(first, last + 1)))
+    raw = read_observations(spark, year_paths(source_prefix, range(first, last + 1)), with_position=True)
     return ingest(raw, out_root)
 
 
@@ -91,7 +96,8 @@ def rolling_refresh(
 ) -> tuple[str, str]:
     """Daily refresh: re-ingest the last ``years`` years and replace exactly those."""
     window = refresh_window(as_of, years)
-    return ingest(read_observations(spark, year_paths(source_prefix, window)), out_root, years=window)
+    raw = read_observations(spark, year_paths(source_prefix, window), with_position=True)
+    return ingest(raw, out_root, years=window)
 
 
 def run_metrics(spark: SparkSession, clean_path: str, quarantine_path: str) -> DataFrame:

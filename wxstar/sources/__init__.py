@@ -8,5 +8,6 @@ from wxstar.sources.files import (  # noqa: F401
     read_station_days,
     read_stations_parquet,
     read_yearly_extract,
+    with_source_order,
     year_paths,
 )

@@ -23,21 +23,41 @@ def year_paths(prefix: str, years: Iterable[int], suffix: str = ".csv.gz") -> li
 
 
 def read_observations(
-    spark: SparkSession, paths: str | list[str], with_file_year: bool = False
+    spark: SparkSession, paths: str | list[str], with_file_year: bool = False, with_position: bool = False
 ) -> DataFrame:
     """Headerless observation CSV (gzip or plain) with the fixed all-text schema.
 
     One scan covers any number of yearly files; a ``.gz`` file is not splittable, so each
     is one task and parallelism comes from the number of files. ``with_file_year`` adds
     ``file_year`` taken from the file name (the task fails on a name without a year).
+    ``with_position`` adds ``src_file`` and ``src_block`` (file and split start), the
+    deterministic part of a row's position; see :func:`with_source_order`.
     Empty fields, bare or quoted, read as null.
     """
     df = spark.read.csv(paths, schema=OBSERVATION_SCHEMA, header=False, mode="PERMISSIVE")
     if with_file_year:
         df = df.withColumn("file_year", year_from_path(F.col("_metadata.file_path")))
+    if with_position:
+        df = df.withColumns({
+            "src_file": F.col("_metadata.file_path"),
+            "src_block": F.col("_metadata.file_block_start"),
+        })
     return df
 
 
+def with_source_order(df: DataFrame, name: str = "src_order") -> DataFrame:
+    """Row position in the source as an orderable struct (file, split start, row id).
+
+    Within one split, rows keep file order and ``monotonically_increasing_id`` grows with
+    it, so the struct orders rows as they appear in their file. Apply it after filters
+    (it is non-deterministic for the optimizer and would stop their push-down); a
+    recomputed partition gets the same ids because it re-reads the same split.
+    """
+    return df.withColumn(
+        name, F.struct("src_file", "src_block", F.monotonically_increasing_id().alias("row"))
+    ).drop("src_file", "src_block")
+
+
 def read_station_days(spark: SparkSession, path: str) -> DataFrame:
     """Partitioned station-day Parquet (``year=/month=``) with an explicit schema, so
     ``month`` stays the two-digit text it was written as instead of being inferred as int."""

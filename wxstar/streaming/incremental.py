@@ -10,6 +10,7 @@ years with the same rows, so the sink is idempotent and the result exactly-once.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wxstar.plans import jobs
@@ -18,11 +19,15 @@ from wxstar.session import scratch_dir
 
 
 def observation_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming scan of headerless observation CSV files with the fixed schema."""
+    """Streaming scan of headerless observation CSV files with the fixed schema, with the
+    file and split of each row so a batch resolves repeated cells in file order."""
     r = spark.readStream.schema(OBSERVATION_SCHEMA).option("header", "false")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.csv(landing_dir)
+    return r.csv(landing_dir).withColumns({
+        "src_file": F.col("_metadata.file_path"),
+        "src_block": F.col("_metadata.file_block_start"),
+    })
 
 
 def start_incremental_ingest(
