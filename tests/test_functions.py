@@ -1,0 +1,42 @@
+"""Scalar helpers: the X-table expressions."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from wxstar.functions import scalar as X
+
+
+def test_scalar_helpers(spark):
+    df = spark.createDataFrame(
+        [("CA001", "20240229", " 12", "  ", 3, 1999, dt.datetime(2026, 3, 5, 9, 0))],
+        "id string, d string, v string, q string, m int, y int, ts timestamp",
+    )
+    r = df.select(
+        X.country_of("id").alias("country"),
+        X.in_country("CA").alias("is_ca"),
+        X.parse_obs_date("d").alias("date"),
+        X.parse_obs_date(F.lit("20230229")).alias("bad"),
+        X.to_int("v").alias("v"),
+        X.to_int(F.lit("1.5x")).alias("nv"),
+        X.blank_to_null("q").alias("q"),
+        X.month_text(X.parse_obs_date("d")).alias("mm"),
+        X.season_of("m").alias("season"),
+        X.season_of(F.lit(None).cast("int")).alias("null_season"),
+        X.decade_of("y").alias("decade"),
+        X.pct(F.lit(1), F.lit(3), 2).alias("pct"),
+        X.pct(F.lit(1), F.lit(0), 2).alias("pct0"),
+        X.year_window("ts").alias("window"),
+        X.year_from_path(F.lit("s3://bucket/by_year/1996.csv.gz")).alias("fy"),
+    ).first()
+    assert (r.country, r.is_ca, r.date, r.bad, r.v, r.nv, r.q, r.mm) == (
+        "CA", True, dt.date(2024, 2, 29), None, 12, None, None, "02")
+    assert (r.season, r.null_season, r.decade, r.pct, r.pct0) == ("spring", "winter", 1990, 33.33, None)
+    assert r.window == [2025, 2026] and r.fy == 1996
+
+
+def test_seasons_cover_all_months(spark):
+    months = spark.range(1, 13).select(F.col("id").cast("int").alias("m"))
+    got = {r.m: r.s for r in months.select("m", X.season_of("m").alias("s")).collect()}
+    assert [got[m] for m in range(1, 13)] == (
+        ["winter"] * 2 + ["spring"] * 3 + ["summer"] * 3 + ["fall"] * 3 + ["winter"])
