@@ -45,13 +45,10 @@ def scratch_dir(spark: SparkSession, name: str = "") -> str:
     The session's setting is used as is. Only where it is unset (local tests) a fresh
     temporary folder is created and registered as the checkpoint directory.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.sparkContext.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="wxstar-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+        root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="wxstar-")
+        spark.sparkContext.setCheckpointDir(root)  # so DataFrame.checkpoint() writes there too
     root = root.rstrip("/")
     if not name:
         return root
