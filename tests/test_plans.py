@@ -54,3 +54,18 @@ def test_star_join_broadcasts_only_the_date_dimension(spark):
     dim_dt = models.dim_date(fct)
     plan = plan_text(models.star_climate_by_province_season(fct, dim_st, dim_dt))
     assert "BroadcastHashJoin" in plan
+
+
+def test_csv_pivot_with_source_order_stays_hash_aggregate(spark, tmp_path):
+    import gzip
+
+    from wxstar.operators.observations import split_by_quality, transform_observations
+    from wxstar.sources.files import read_observations, with_source_order
+
+    with gzip.open(tmp_path / "2024.csv.gz", "wt") as f:
+        f.write("CA000000002,20240201,PRCP,30,,,S,\n")
+    raw = read_observations(spark, str(tmp_path / "2024.csv.gz"), with_position=True)
+    clean, _ = split_by_quality(with_source_order(prepare_observations(raw)))
+    plan = plan_text(transform_observations(clean, "src_order"))
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    assert "StringStartsWith(id,CA)" in plan  # the position is added after the pushed filter

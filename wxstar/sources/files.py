@@ -46,16 +46,19 @@ def read_observations(
 
 
 def with_source_order(df: DataFrame, name: str = "src_order") -> DataFrame:
-    """Row position in the source as an orderable struct (file, split start, row id).
-
-    Within one split, rows keep file order and ``monotonically_increasing_id`` grows with
-    it, so the struct orders rows as they appear in their file. Apply it after filters
-    (it is non-deterministic for the optimizer and would stop their push-down); a
-    recomputed partition gets the same ids because it re-reads the same split.
+    """Row position in the source as one ``bigint``: split start (in MiB) in the high
+    bits, the row's index within its task in the low 33 bits.
+
+    Within one split, rows keep file order and the index grows with it; splits of a
+    file start at least 4 MiB apart (Spark's minimum split size), so the key orders all
+    rows of a file as they appear in it. A ``bigint`` keeps the pivot a hash aggregate
+    (a struct key would force a sort-based one). Apply after filters: the row index is
+    non-deterministic for the optimizer and would stop their push-down; a recomputed
+    partition re-reads the same split and gets the same indexes.
     """
-    return df.withColumn(
-        name, F.struct("src_file", "src_block", F.monotonically_increasing_id().alias("row"))
-    ).drop("src_file", "src_block")
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    key = F.shiftleft(F.shiftright(F.col("src_block"), 20), 33).bitwiseOR(row)
+    return df.withColumn(name, key).drop("src_file", "src_block")
 
 
 def read_station_days(spark: SparkSession, path: str) -> DataFrame:
