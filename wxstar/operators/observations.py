@@ -109,14 +109,25 @@ def station_days_from_raw(
 def element_units(station_days: DataFrame, elements: list[str] = CORE_ELEMENTS, scale: dict[str, int] = SCALE) -> DataFrame:
     """Unit audit of the wide rows: per element, its divisor, the number of filled cells
     and the sum of the stored values (as whole tenths, exact). Snow and snow depth must
-    come out ten times their tenths-element peers' scale, i.e. undivided."""
+    come out ten times their tenths-element peers' scale, i.e. undivided.
+
+    One aggregate over the wide rows; only its one-row result is unpivoted.
+    """
     cols = [element_column(e) for e in elements]
-    long = station_days.select("id", "date", *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
-        ["id", "date"], cols, "element", "value"
+    agg = station_days.agg(
+        *[x for c in cols for x in (F.count(c).alias(f"n_{c}"), F.sum(F.col(c).cast("double")).alias(f"s_{c}"))]
     )
-    divisor = F.create_map(*[x for e in elements for x in (F.lit(element_column(e)), F.lit(scale.get(e, 1)))])
-    return long.groupBy("element").agg(
-        F.first(divisor[F.col("element")]).alias("divisor"),
-        F.count("value").alias("cells"),
-        F.round(F.coalesce(F.sum("value"), F.lit(0.0)) * 10).cast("bigint").alias("value_tenths"),
+    return agg.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(c).alias("element"), F.lit(scale.get(e, 1)).alias("divisor"),
+                        F.col(f"n_{c}").alias("cells"),
+                        F.round(F.coalesce(F.col(f"s_{c}"), F.lit(0.0)) * 10).cast("bigint").alias("value_tenths"),
+                    )
+                    for e, c in zip(elements, cols)
+                ]
+            )
+        )
     )
