@@ -77,3 +77,29 @@ def test_rerun_diff(spark):
     rows = sorted((r.k, r.side, r.copies) for r in validation.rerun_diff(a, b).collect())
     assert rows == [(1, "old_only", 1), (3, "new_only", 1)]
     assert validation.rerun_diff(a, a).count() == 0
+
+
+def _rows(spark, df, rows):
+    from pyspark.sql.types import StructField, StructType
+
+    schema = StructType([StructField(f.name, f.dataType, True) for f in df.schema.fields])
+    return spark.createDataFrame(rows, schema)
+
+
+def test_every_declared_test_can_fail(spark):
+    """A star with one planted violation per declared test: all 26 report failures."""
+    st, raw, dim_dt, dim_st, fct, mart = _star(spark, planted=True)
+    # raw observations: a null date
+    raw = raw.unionByName(_rows(spark, raw, [("CA1", None, 1.0, 0.0, 0.0, 0.0, 0, 0)]))
+    # dim_date: a null key, null parts, and a duplicated day
+    dim_dt = dim_dt.unionByName(_rows(
+        spark, dim_dt, [(None, None, None, None, "winter"), (D(2024, 1, 1), 2024, 1, 1, "winter")]))
+    # dim_station: a row with every tested column null
+    dim_st = dim_st.unionByName(_rows(spark, dim_st, [(None, None, None, None, "ON", None, None, None, None)]))
+    # fact: a null date (the null station id is already planted)
+    fct = fct.unionByName(_rows(spark, fct, [("CA1", None, 1.0, 0.0, 0.0, 0.0, 0, 0)]))
+    # mart: a row with every tested column null
+    mart = mart.unionByName(_rows(spark, mart, [tuple([None] * len(mart.columns))]))
+    res = {r.test_name: r.failures for r in validation.run_data_tests(st, raw, dim_dt, dim_st, fct, mart).collect()}
+    assert len(res) == 26
+    assert [name for name, n in res.items() if n == 0] == []
