@@ -47,9 +47,12 @@ def ingest(
     With ``years`` each listed year directory is replaced whole (a rerun of a year is
     idempotent, a vanished month disappears); ``years="from_data"`` replaces the years
     present in the input (one small distinct over the persisted scope: at most one value
-    per calendar year); without, the outputs are written fresh in one job each (backfill). The prepared scope (already ~14x smaller than the raw scan)
-    is persisted because both writes read it; on executor loss its blocks are recomputed
-    from the source files.
+    per calendar year); without, the outputs are written fresh in one job each (backfill).
+
+    The prepared scope (already ~14x smaller than the raw scan) is persisted because both
+    writes read it; on executor loss its blocks are recomputed from the source files.
+    When the input carries source positions (``read_observations(with_position=True)``)
+    and no ``order_key`` is given, repeated cells resolve to the first row in file order.
     """
     clean_path, quarantine_path = _outputs(out_root)
     prepared = prepare_observations(raw, country, elements)
