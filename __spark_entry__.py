@@ -363,7 +363,7 @@ st AS (
          CAST(CAST(42 + s.s_acctbal / 1000 AS DECIMAL(8,5)) AS VARCHAR) AS latitude,
          CAST(CAST(-60 - s.s_acctbal / 1000 AS DECIMAL(8,5)) AS VARCHAR) AS longitude,
          CAST(CAST(floor(s.s_acctbal / 10) AS BIGINT) AS VARCHAR) AS elevation,
-         ['AB','BC','MB','NB','NL','NS','NT','NU','ON','PE','QC','SK','YT'][CAST(s.s_suppkey % 13 + 1 AS INTEGER)] AS state,
+         ['AB','BC','MB','NB','NL','NS','NT','NU','ON','PE','QC','SK','YT'][least(CAST(floor((s.s_acctbal + 1000) / 850) AS INTEGER) + 1, 13)] AS state,
          s.s_name AS name,
          CASE WHEN s.s_acctbal > 9000 THEN 'GSN' ELSE '' END AS gsn_flag,
          CASE WHEN s.s_acctbal BETWEEN 0 AND 1000 THEN 'HCN' ELSE '' END AS hcn_crn_flag,

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 # ---------------------------------------------------------------------------
 # Element of a lineitem by its line number 1..7; 7 maps to an element outside the core six.
 LINE_ELEMENTS = ["TMAX", "TMIN", "PRCP", "TAVG", "SNOW", "SNWD", "WT01"]
-# Province / territory codes handed out to stations round-robin by supplier key.
+# Province / territory codes, handed out by account-balance band (850 wide from -1000).
 PROVINCES = ["AB", "BC", "MB", "NB", "NL", "NS", "NT", "NU", "ON", "PE", "QC", "SK", "YT"]
 # Country code of a nation, by nation key 0..24: the nations of the TPC-H specification in
 # key order, written as FIPS 10-4 two-letter codes (the station ids' country prefix).
@@ -61,7 +61,7 @@ def supplier_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(bal / 10).cast("string").alias("elevation"),
         F.try_element_at(
             F.array(*[F.lit(p) for p in PROVINCES]),
-            (F.pmod(F.col("s_suppkey"), F.lit(len(PROVINCES))) + 1).cast("int"),
+            F.least(F.floor((bal + 1000) / 850).cast("int") + 1, F.lit(len(PROVINCES))),
         ).alias("state"),
         F.col("s_name").alias("name"),
         F.when(bal > 9000, F.lit("GSN")).otherwise(F.lit("")).alias("gsn_flag"),
