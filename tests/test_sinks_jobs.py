@@ -146,3 +146,16 @@ def test_csv_duplicates_take_first_row_in_file(spark, tmp_path):
     clean, _ = jobs.ingest_year(spark, str(src), str(tmp_path / "o"), 2024)
     got = {r.date.day: r.prcp for r in read_station_days(spark, clean).collect()}
     assert got == {1: 3.0, 2: 0.5}
+
+
+def test_mart_on_bucketed_fact_has_one_exchange(spark, tmp_path):
+    fct = spark.createDataFrame(
+        [(f"CA{i % 7}", dt.date(2020 + i % 3, 1, 1 + i % 28), float(i), 0.0, 0.0, 0.0, 0, 0) for i in range(200)],
+        "station_id string, observation_date date, tmax_c double, tmin_c double, tavg_c double, prcp_mm double, "
+        "snow_fall_mm int, snwd_depth_mm int")
+    sinks.write_bucketed_fact(fct, "fct_b2", 4, path=str(tmp_path / "fct_b2"))
+    bucketed = models.mart_yearly_climate(spark.table("fct_b2"))
+    plain = models.mart_yearly_climate(spark.read.parquet(str(tmp_path / "fct_b2")))
+    assert plan_text(bucketed).count("hashpartitioning(") == 1   # only the year step
+    assert plan_text(plain).count("hashpartitioning(") == 2
+    assert sorted(map(tuple, bucketed.collect())) == sorted(map(tuple, plain.collect()))
