@@ -69,3 +69,28 @@ def test_csv_pivot_with_source_order_stays_hash_aggregate(spark, tmp_path):
     plan = plan_text(transform_observations(clean, "src_order"))
     assert "SortAggregate" not in plan and "HashAggregate" in plan
     assert "StringStartsWith(id,CA)" in plan  # the position is added after the pushed filter
+
+
+def test_registered_plans_avoid_row_copies_and_cross_products(spark):
+    """Every lazily built registered query: no Expand, nested-loop or cartesian join,
+    and no sort-based aggregation over sorted input."""
+    import os
+
+    import __spark_entry__ as E
+    from wxstar.plans import files
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    bad = {}
+    for name, q in E.queries().items():
+        if name in files.QUERIES or name == "data_tests":  # these write or checkpoint first
+            continue
+        tree = plan_text(q(spark, sf)).split("\n\n")[0]
+        lines = tree.split("\n")
+        flags = [k for k in ("Expand", "BroadcastNestedLoopJoin", "CartesianProduct") if k in tree]
+        flags += ["keyed SortAggregate" for i, l in enumerate(lines[:-1])
+                  if "SortAggregate" in l and "Sort (" in lines[i + 1]]
+        if flags:
+            bad[name] = flags
+    assert bad == {}
