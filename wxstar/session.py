@@ -19,6 +19,8 @@ RECOMMENDED_CONF = {
     # (start spark.sql.shuffle.partitions high on a cluster and let AQE coalesce).
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    # coalesce shuffle partitions to the advisory size rather than to maximum parallelism
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
 }
 
 
