@@ -59,7 +59,8 @@ def split_by_quality(prepared: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def to_station_days(
-    clean: DataFrame, order_key: str | None = None, elements: list[str] = CORE_ELEMENTS
+    clean: DataFrame, order_key: str | None = None, elements: list[str] = CORE_ELEMENTS,
+    keys: tuple[str, ...] = ("id", "date"),
 ) -> DataFrame:
     """Long -> wide by conditional aggregation: one ``groupBy(id, date)``, hence one
     exchange with map-side partial aggregation (``pivot()`` would plan two).
@@ -76,7 +77,7 @@ def to_station_days(
         else:
             cell = F.min(F.when(is_e, F.col("data_value")))
         aggs.append(cell.alias(element_column(e)))
-    return clean.groupBy("id", "date").agg(*aggs)
+    return clean.groupBy(*keys).agg(*aggs)
 
 
 def scale_elements(wide: DataFrame, scale: dict[str, int] = SCALE) -> DataFrame:
@@ -92,7 +93,17 @@ def transform_observations(
     clean: DataFrame, order_key: str | None = None, elements: list[str] = CORE_ELEMENTS,
     scale: dict[str, int] = SCALE,
 ) -> DataFrame:
-    """Pivot + scale + partition columns: id, date, <elements>, year, month."""
+    """Pivot + scale + partition columns: id, date, <elements>, year, month.
+
+    When the clean rows already carry ``year``/``month`` (as prepared rows do; both are
+    functions of the date) they are carried through the grouping instead of recomputed,
+    so a later filter on ``year`` (one year's replace) is a filter on a stored column of
+    the input, which a cached or partitioned input can prune by.
+    """
+    if "year" in clean.columns and "month" in clean.columns:
+        wide = to_station_days(clean, order_key, elements, keys=("id", "date", "year", "month"))
+        cols = ["id", "date", *[element_column(e) for e in elements], "year", "month"]
+        return scale_elements(wide, scale).select(*cols)
     wide = scale_elements(to_station_days(clean, order_key, elements), scale)
     return wide.withColumns({"year": F.year("date"), "month": month_text("date")})
 
