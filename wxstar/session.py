@@ -47,10 +47,15 @@ def scratch_dir(spark: SparkSession, name: str = "") -> str:
     The session's setting is used as is. Only where it is unset (local tests) a fresh
     temporary folder is created and registered as the checkpoint directory.
     """
-    root = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no local SparkContext
+        sc = None
+    root = sc.getCheckpointDir() if sc is not None else None
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="wxstar-")
-        spark.sparkContext.setCheckpointDir(root)  # so DataFrame.checkpoint() writes there too
+        if sc is not None:
+            sc.setCheckpointDir(root)  # so DataFrame.checkpoint() writes there too
     root = root.rstrip("/")
     if not name:
         return root
