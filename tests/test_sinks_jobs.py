@@ -159,3 +159,20 @@ def test_mart_on_bucketed_fact_has_one_exchange(spark, tmp_path):
     assert plan_text(bucketed).count("hashpartitioning(") == 1   # only the year step
     assert plan_text(plain).count("hashpartitioning(") == 2
     assert sorted(map(tuple, bucketed.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_cli_jobs(spark, tmp_path):
+    from wxstar.plans import cli
+
+    src = _write_year(tmp_path, 2024, [1, 2])
+    out = cli.main(["ingest-year", "--year", "2024", "--source-prefix", src, "--output-prefix", str(tmp_path / "o"),
+                    "--JOB_NAME", "x"])
+    assert read_station_days(spark, out["clean"]).count() == 2
+    st_txt = tmp_path / "stations.txt"
+    st_txt.write_text("CA000000001  45.0000  -75.0000  100.0 ON STATION ONE\n")
+    cli.main(["stations", "--source-path", str(st_txt), "--output-path", str(tmp_path / "st")])
+    cli.main(["star", "--observations", out["clean"], "--stations", str(tmp_path / "st"),
+              "--warehouse", str(tmp_path / "wh")])
+    out2 = cli.main(["refresh", "--source-prefix", src, "--output-prefix", str(tmp_path / "o"),
+                     "--as-of", "2024-06-01", "--years", "1"])
+    assert read_station_days(spark, out2["clean"]).count() == 2
