@@ -62,8 +62,9 @@ def to_station_days(
     clean: DataFrame, order_key: str | None = None, elements: list[str] = CORE_ELEMENTS,
     keys: tuple[str, ...] = ("id", "date"),
 ) -> DataFrame:
-    """Long -> wide by conditional aggregation: one ``groupBy(id, date)``, hence one
-    exchange with map-side partial aggregation (``pivot()`` would plan two).
+    """Long -> wide by conditional aggregation: one ``groupBy`` on the station-day
+    ``keys`` (id, date, plus columns that are functions of them), hence one exchange with
+    map-side partial aggregation (``pivot()`` would plan two).
 
     A repeated (id, date, element) resolves deterministically: the value of the row with
     the smallest ``order_key`` (its position in the source), or the smallest value when no
@@ -117,10 +118,13 @@ def station_days_from_raw(
     return transform_observations(clean, order_key, elements)
 
 
-def element_units(station_days: DataFrame, elements: list[str] = CORE_ELEMENTS, scale: dict[str, int] = SCALE) -> DataFrame:
+def element_units(
+    station_days: DataFrame, elements: list[str] = CORE_ELEMENTS, scale: dict[str, int] = SCALE
+) -> DataFrame:
     """Unit audit of the wide rows: per element, its divisor, the number of filled cells
-    and the sum of the stored values (as whole tenths, exact). Snow and snow depth must
-    come out ten times their tenths-element peers' scale, i.e. undivided.
+    and the sum of the stored values in whole tenths (exact). For a tenths element that
+    sum equals the raw integer sum; for snow and snow depth, which are not divided, it is
+    ten times the raw sum, so a blanket /10 shows up at once.
 
     One aggregate over the wide rows; only its one-row result is unpivoted.
     """
