@@ -212,6 +212,15 @@ def run_data_tests(
     return out
 
 
+def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """Post-load row count of each named table, one row per table (model, rows)."""
+    parts = [df.agg(F.lit(name).alias("model"), F.count("*").alias("rows")) for name, df in tables.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 # --- reconciliation and reruns ----------------------------------------------
 
 

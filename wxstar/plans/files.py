@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wxstar.operators import models, profiling, trends
+from wxstar.operators import models, profiling, trends, validation
 from wxstar.plans import jobs
 from wxstar.plans.star import star_from_tables
 from wxstar.schemas import OBSERVATION_COLUMNS, RAW_STATIONS_SCHEMA
@@ -151,14 +151,7 @@ def _built_star(spark, sf_dir):
 
 def q_star_schema_counts(spark, sf_dir):
     built = _built_star(spark, sf_dir)
-    parts = [
-        df.agg(F.lit(name).alias("model"), F.count("*").alias("rows"))
-        for name, df in built.items() if name != "data_tests"
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return validation.row_counts({name: df for name, df in built.items() if name != "data_tests"})
 
 
 def q_star_data_tests(spark, sf_dir):
