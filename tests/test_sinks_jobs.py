@@ -190,7 +190,8 @@ def test_stream_replay_is_idempotent(spark, tmp_path):
                 f.write(",".join("" if v is None else v for v in r) + "\n")
     out = str(tmp_path / "out")
     start_incremental_ingest(spark, str(landing), out, checkpoint=str(tmp_path / "c1")).awaitTermination()
-    first = spark.createDataFrame(read_station_days(spark, f"{out}/processed/observations.parquet").collect())
+    snap = read_station_days(spark, f"{out}/processed/observations.parquet")
+    first = spark.createDataFrame(snap.collect(), snap.schema)  # snapshot before the replay
     # a lost checkpoint replays every file: the year replace makes the result identical
     start_incremental_ingest(spark, str(landing), out, checkpoint=str(tmp_path / "c2")).awaitTermination()
     second = read_station_days(spark, f"{out}/processed/observations.parquet")
