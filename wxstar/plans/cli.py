@@ -3,7 +3,7 @@
     spark-submit -m wxstar.plans.cli ingest-year --year 2024 --source-prefix s3://.../by_year --output-prefix s3://...
     python -m wxstar.plans.cli backfill --first 1990 --last 2025 --source-prefix ... --output-prefix ...
     python -m wxstar.plans.cli refresh --source-prefix ... --output-prefix ... [--as-of 2026-01-02]
-    python -m wxstar.plans.cli stations --source-path .../ghcnd-stations.txt --output-path .../stations.parquet
+    python -m wxstar.plans.cli stations --source-path .../stations.txt --output-path .../stations.parquet
     python -m wxstar.plans.cli star --observations ... --stations ... --warehouse ... [--target prod]
 
 The session is the one the cluster provides (``getOrCreate``); only the time zone is set.
