@@ -12,7 +12,7 @@ def spark(tmp_path_factory):
 
     ckpt = str(tmp_path_factory.mktemp("checkpoint"))
     s = (
-        SparkSession.builder.master("local[4]")
+        SparkSession.builder.master("local[4,2]")  # 2 attempts per task: failure-injection tests
         .appName("wxstar-tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
