@@ -99,3 +99,22 @@ def test_pivot_is_one_exchange(spark):
     clean, _ = split_by_quality(prepare_observations(obs_rows(spark, ROWS)))
     plan = plan_text(transform_observations(clean))
     assert plan.count("hashpartitioning(") == 1, plan
+
+
+def test_profile_report_equals_per_report_functions(spark):
+    from wxstar.operators import profiling as P
+
+    ddl = ", ".join(f"{c} string" for c in ["id", "date", "element", "data_value", "m_flag", "q_flag", "s_flag",
+                                              "obs_time"])
+    raw = obs_rows(spark, ROWS).unionByName(
+        spark.createDataFrame([(None, "20240101", "TMAX", "1", None, "Q", "S", None)], ddl))
+    keys = P.profile_keys(raw).checkpoint()  # materialised once, reused by every report
+    rep = P.profile_report(raw, keys=keys)
+    singles = {
+        "volume": P.volume(raw), "country_mix": P.country_mix(raw), "country_ratio": P.country_ratio(raw),
+        "element_mix": P.element_mix(raw), "core_element_mix": P.core_element_mix(raw),
+        "flag_mix": P.flag_mix(raw), "failed_qc": P.failed_qc(raw),
+    }
+    for name, df in singles.items():
+        assert rep[name].columns == df.columns, name
+        assert sorted(map(tuple, rep[name].collect()), key=str) == sorted(map(tuple, df.collect()), key=str), name
