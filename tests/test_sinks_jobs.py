@@ -241,3 +241,17 @@ def test_ingest_survives_a_failed_task(spark, tmp_path):
     assert os.path.exists(marker)  # the failure really happened and was retried
     assert ok.count() > 0 and rerun_diff(ok, retried).count() == 0
     assert ok.agg(F.max("tmax")).first()[0] < 100  # the first row of each duplicate pair won
+
+
+def test_undatable_rows_keep_their_file_year_in_quarantine(spark, tmp_path):
+    from wxstar.sources.files import read_quarantine
+
+    src = tmp_path / "src"
+    src.mkdir()
+    with gzip.open(src / "2024.csv.gz", "wt") as f:
+        f.write("CA000000001,20240105,TMAX,10,,,S,\n")
+        f.write("CA000000001,xxxx0101,TMAX,10,,,S,\n")  # no usable year in the date text
+    for _ in range(2):  # a rerun replaces, it does not duplicate
+        _, quarantine = jobs.ingest_year(spark, str(src), str(tmp_path / "o"), 2024)
+    q = read_quarantine(spark, quarantine).collect()
+    assert [(r.year, r.reason) for r in q] == [(2024, "bad_date")]

@@ -88,6 +88,13 @@ def year_from_path(path: str | Column) -> Column:
     )
 
 
+def year_in_path(path: str | Column) -> Column:
+    """First four-digit run in the file name as int, or null (no error) if there is none."""
+    name = F.regexp_extract(_col(path), r"([^/]*)$", 1)
+    digits = F.regexp_extract(name, r"(\d{4})", 1)
+    return F.when(digits != "", digits.cast("int"))
+
+
 def year_window(ts: str | Column, years: int = 2) -> Column:
     """Array of the ``years`` years ending in the year of ``ts``: [Y-1, Y] by default."""
     y = F.year(_col(ts))

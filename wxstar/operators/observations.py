@@ -24,12 +24,16 @@ def prepare_observations(
     * ``date``: ``yyyyMMdd`` -> date, null if impossible;
     * ``data_value``: text -> int, null if non-numeric (the row survives);
     * ``q_flag``: trimmed, blank -> null, so a blank flag counts as clean;
-    * ``year``/``month``: from the date; for an impossible date, from its text, so the row
-      still lands in its year's quarantine partition.
+    * ``year``/``month``: from the date; for an impossible date, from its text, and failing
+      that from ``source_year`` (the file's year) when present, so the row still lands in
+      its year's quarantine partition.
     Columns other than the eight raw ones (e.g. a source-order key) are kept.
     """
     d = parse_obs_date(F.col("date"))
-    extra = [c for c in raw.columns if c not in _RAW]
+    extra = [c for c in raw.columns if c not in _RAW and c != "source_year"]
+    year_parts = [F.year(d), to_int(F.substring("date", 1, 4))]
+    if "source_year" in raw.columns:  # the file's year, for date text without a usable year
+        year_parts.append(F.col("source_year"))
     return raw.filter(scope_filter(country, elements)).select(
         "id",
         d.alias("date"),
@@ -40,7 +44,7 @@ def prepare_observations(
         "s_flag",
         "obs_time",
         *extra,
-        F.coalesce(F.year(d), to_int(F.substring("date", 1, 4))).alias("year"),
+        F.coalesce(*year_parts).alias("year"),
         F.coalesce(month_text(d), F.nullif(F.substring("date", 5, 2), F.lit(""))).alias("month"),
     )
 

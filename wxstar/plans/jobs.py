@@ -28,6 +28,7 @@ from wxstar.sources.files import (
     read_station_days,
     read_stations_parquet,
     with_source_order,
+    with_source_year,
     year_paths,
 )
 from wxstar.sources.fixed_width import read_fixed_width
@@ -78,14 +79,15 @@ def ingest(
 
 def ingest_year(spark: SparkSession, source_prefix: str, out_root: str, year: int) -> tuple[str, str]:
     """The one-year job: ``{source_prefix}/{year}.csv.gz`` -> that year's partitions."""
-    raw = read_observations(spark, year_paths(source_prefix, [year]), with_position=True)
+    raw = with_source_year(read_observations(spark, year_paths(source_prefix, [year]), with_position=True))
     return ingest(raw, out_root, years=[year])
 
 
 def backfill(spark: SparkSession, source_prefix: str, out_root: str, first: int, last: int) -> tuple[str, str]:
     """All years in one job: one scan over every yearly file (one task per ``.gz``), one
     shuffle for the pivot, fresh outputs. Replaces the one-run-per-year submission loop."""
-    raw = read_observations(spark, year_paths(source_prefix, range(first, last + 1)), with_position=True)
+    raw = with_source_year(
+        read_observations(spark, year_paths(source_prefix, range(first, last + 1)), with_position=True))
     return ingest(raw, out_root)
 
 
@@ -99,7 +101,7 @@ def rolling_refresh(
 ) -> tuple[str, str]:
     """Daily refresh: re-ingest the last ``years`` years and replace exactly those."""
     window = refresh_window(as_of, years)
-    raw = read_observations(spark, year_paths(source_prefix, window), with_position=True)
+    raw = with_source_year(read_observations(spark, year_paths(source_prefix, window), with_position=True))
     return ingest(raw, out_root, years=window)
 
 

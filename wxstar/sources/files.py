@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wxstar.functions.scalar import year_from_path
+from wxstar.functions.scalar import year_from_path, year_in_path
 from wxstar.schemas import (
     OBSERVATION_SCHEMA,
     QUARANTINE_SCHEMA,
@@ -45,6 +45,12 @@ def read_observations(
     return df
 
 
+def with_source_year(df: DataFrame) -> DataFrame:
+    """``source_year``: the year in a row's file name (null if none), the fallback year of
+    rows whose date text has no usable year, so a year replace never loses them."""
+    return df.withColumn("source_year", year_in_path(F.col("_metadata.file_path")))
+
+
 def with_source_order(df: DataFrame, name: str = "src_order") -> DataFrame:
     """Row position in the source as one ``bigint``: split start (in MiB) in the high
     bits, the row's index within its task in the low 33 bits.

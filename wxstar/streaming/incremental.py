@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from wxstar.functions.scalar import year_in_path
 from wxstar.plans import jobs
 from wxstar.schemas import CORE_ELEMENTS, DEFAULT_COUNTRY, OBSERVATION_SCHEMA
 from wxstar.session import scratch_dir
@@ -27,6 +28,7 @@ def observation_stream(spark: SparkSession, landing_dir: str, max_files_per_trig
     return r.csv(landing_dir).withColumns({
         "src_file": F.col("_metadata.file_path"),
         "src_block": F.col("_metadata.file_block_start"),
+        "source_year": year_in_path(F.col("_metadata.file_path")),
     })
 
 
