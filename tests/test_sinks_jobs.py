@@ -255,3 +255,12 @@ def test_undatable_rows_keep_their_file_year_in_quarantine(spark, tmp_path):
         _, quarantine = jobs.ingest_year(spark, str(src), str(tmp_path / "o"), 2024)
     q = read_quarantine(spark, quarantine).collect()
     assert [(r.year, r.reason) for r in q] == [(2024, "bad_date")]
+
+
+def test_rows_without_any_year_are_kept_apart(spark, tmp_path):
+    raw = obs_rows(spark, [("CA000000001", "20240105", "TMAX", "10", None, None, "S", None),
+                           ("CA000000001", "xxxx0101", "TMAX", "10", None, None, "S", None)])
+    for _ in range(2):
+        jobs.ingest(raw, str(tmp_path / "o"), years=[2024])
+    undated = spark.read.parquet(jobs.undated_path(str(tmp_path / "o"))).collect()
+    assert [(str(r.years), r.reason) for r in undated] == [("2024", "bad_date")]  # once, despite the rerun

@@ -21,7 +21,14 @@ from wxstar.schemas import (
     RAW_STATIONS_SCHEMA,
     STATIONS_LAYOUT,
 )
-from wxstar.sinks.parquet import conform, materialize, replace_years, write_partitioned, write_stations
+from wxstar.sinks.parquet import (
+    conform,
+    materialize,
+    replace_undated,
+    replace_years,
+    write_partitioned,
+    write_stations,
+)
 from wxstar.sources.files import (
     read_observations,
     read_quarantine,
@@ -39,6 +46,11 @@ def _outputs(root: str) -> tuple[str, str]:
     return f"{root}/processed/observations.parquet", f"{root}/quarantined/observations.parquet"
 
 
+def undated_path(out_root: str) -> str:
+    """Quarantined rows that have no year at all (see ``sinks.replace_undated``)."""
+    return f"{out_root.rstrip('/')}/quarantined/undated.parquet"
+
+
 def ingest(
     raw: DataFrame, out_root: str, years: Iterable[int] | str | None = None, order_key: str | None = None,
     country: str = DEFAULT_COUNTRY, elements: list[str] = CORE_ELEMENTS,
@@ -49,6 +61,8 @@ def ingest(
     idempotent, a vanished month disappears); ``years="from_data"`` replaces the years
     present in the input (one small distinct over the persisted scope: at most one value
     per calendar year); without, the outputs are written fresh in one job each (backfill).
+    Rejected rows without any year go to :func:`undated_path` in the replacing modes (a
+    fresh backfill keeps them in the default partition), so no row is dropped.
 
     The prepared scope (already ~14x smaller than the raw scan) is persisted because both
     writes read it; on executor loss its blocks are recomputed from the source files.
@@ -71,6 +85,7 @@ def ingest(
                 years = [r[0] for r in prepared.select("year").distinct().collect() if r[0] is not None]
             years = sorted(set(years))
             replace_years(rejected, quarantine_path, years)
+            replace_undated(rejected, undated_path(out_root), years)
             replace_years(station_days, clean_path, years)
     finally:
         prepared.unpersist()

@@ -5,6 +5,7 @@ from wxstar.sinks.parquet import (  # noqa: F401
     atomic_replace,
     conform,
     materialize,
+    replace_undated,
     replace_years,
     table_name,
     write_bucketed_fact,

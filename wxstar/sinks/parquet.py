@@ -63,6 +63,19 @@ def replace_years(df: DataFrame, path: str, years: Iterable[int]) -> None:
         )
 
 
+def replace_undated(df: DataFrame, path: str, years: Iterable[int]) -> None:
+    """Rows without any year (no usable date text, no year in the file name) from a run
+    that replaces ``years``: written to ``{path}/years=<y1-y2..>``, replaced when the same
+    year set is rerun, so they are neither lost nor duplicated. Kept outside the
+    ``year=/month=`` tree, whose partition layout they do not fit."""
+    key = "-".join(str(y) for y in sorted(set(years))) or "none"
+    (
+        df.filter(F.col("year").isNull()).drop("year", "month")
+        .write.mode("overwrite").option("partitionOverwriteMode", "static")
+        .parquet(f"{path.rstrip('/')}/years={key}")
+    )
+
+
 def write_stations(df: DataFrame, path: str) -> None:
     """Full overwrite of the station table (it is small and always rebuilt whole)."""
     df.write.mode("overwrite").parquet(path)
