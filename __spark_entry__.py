@@ -8,8 +8,13 @@ rules and the same semantics independently, in DuckDB SQL.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
+if os.path.dirname(os.path.abspath(__file__)) not in sys.path:  # loaded by path from elsewhere
+    sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
