@@ -24,7 +24,9 @@ RECOMMENDED_CONF = {
 }
 
 
-def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "wxstar") -> SparkSession:
+def local_session(
+    cores: str = "8", shuffle_partitions: int = 8, app: str = "wxstar", extra_conf: dict | None = None
+) -> SparkSession:
     """A local session for tests/benchmarks: UI off, AQE on, UTC."""
     b = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -34,7 +36,7 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "wxs
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("WXSTAR_DRIVER_MEMORY", "8g"))
     )
-    for k, v in RECOMMENDED_CONF.items():
+    for k, v in {**RECOMMENDED_CONF, **(extra_conf or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
