@@ -53,3 +53,22 @@ def test_monthly_counts(spark):
         "id string, date date, tmax double, year int, month string")
     assert [(r.month, r["count"]) for r in trends.monthly_counts(sd, 2024).collect()] == [("01", 1), ("02", 1)]
     assert [(r.month, r["count"]) for r in trends.monthly_counts(sd, 2024, "tmax").collect()] == [("01", 1)]
+
+
+def test_reconcile_against_published_extract(spark):
+    from wxstar.operators.validation import reconcile
+
+    published = _mart(spark).select("observation_year", "station_count", "station_days", "tmax_days")
+    from pyspark.sql import functions as F
+
+    ours = published.filter("observation_year <> 2025").withColumn(
+        "station_days",
+        F.when(F.col("observation_year") == 2024, F.col("station_days") + 1).otherwise(F.col("station_days")))
+    rows = {r.observation_year: r for r in
+            reconcile(ours, published, "observation_year", ["station_count", "station_days", "tmax_days"],
+                      "mart", "published").collect()}
+    assert len(rows) == 6
+    assert all(rows[y].diff_station_count == 0 and rows[y].diff_tmax_days == 0 for y in (1990, 2005, 2022, 2023, 2024))
+    assert rows[2024].diff_station_days == 1           # a planted difference shows up
+    assert rows[2025].mart_station_days is None         # a year missing on one side shows up
+    assert rows[1990].diff_station_days == 0
