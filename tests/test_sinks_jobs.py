@@ -264,3 +264,15 @@ def test_rows_without_any_year_are_kept_apart(spark, tmp_path):
         jobs.ingest(raw, str(tmp_path / "o"), years=[2024])
     undated = spark.read.parquet(jobs.undated_path(str(tmp_path / "o"))).collect()
     assert [(str(r.years), r.reason) for r in undated] == [("2024", "bad_date")]  # once, despite the rerun
+
+
+def test_star_schema_with_bucketed_fact(spark, tmp_path):
+    src = _write_year(tmp_path, 2024, [1, 2, 3])
+    st_txt = tmp_path / "stations.txt"
+    st_txt.write_text("CA000000001  45.0000  -75.0000  100.0 ON STATION ONE\n")
+    clean, _ = jobs.ingest_year(spark, src, str(tmp_path / "o"), 2024)
+    jobs.build_stations(spark, str(st_txt), str(tmp_path / "st"))
+    built = jobs.build_star_schema(spark, clean, str(tmp_path / "st"), str(tmp_path / "wh"), buckets=4)
+    assert built["mart_yearly_climate"].first().station_days == 3
+    assert plan_text(models.mart_yearly_climate(built["fct_daily_weather"])).count("hashpartitioning(") == 1
+    assert all(r.failures == 0 for r in built["data_tests"].collect())
