@@ -35,11 +35,7 @@ SPAN_STARTS = (1995, 1997, 1999)
 SPAN_END = 2001
 INCOMPLETE_FROM = 2001
 MONTH_YEAR = 1998
-ROUND = 4  # averages are rounded on both sides: summation order differs between engines
-
-
-def _r(c: str, digits: int = ROUND):
-    return F.round(F.col(c), digits).alias(c)
+ROUND = 4  # decimals of the exact (deterministic) means in the mart-based reports
 
 
 # ---------------------------------------------------------------------------
@@ -47,13 +43,16 @@ def _r(c: str, digits: int = ROUND):
 # ---------------------------------------------------------------------------
 
 
+def _exact_mart(spark, sf_dir):
+    """The mart with exact means (rounded half-up to ROUND decimals): deterministic, so
+    both engines agree even when a mean falls exactly on a rounding tie."""
+    return models.mart_yearly_climate(star_from_tables(spark, sf_dir).fct, exact_digits=ROUND)
+
+
 def q_yearly_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = star_from_tables(spark, sf_dir)
-    m = models.with_tmax_share(star.mart)
+    m = models.with_tmax_share(_exact_mart(spark, sf_dir))
     avgs = ["avg_tmax_c", "avg_tmin_c", "avg_tavg_c", "avg_prcp_mm", "avg_snow_mm", "avg_snwd_mm"]
-    return m.select(
-        "observation_year", "station_count", "tmax_days", "station_days", "tmax_share", *[_r(a) for a in avgs]
-    )
+    return m.select("observation_year", "station_count", "tmax_days", "station_days", "tmax_share", *avgs)
 
 
 def q_wide_station_days(spark, sf_dir):
@@ -215,8 +214,7 @@ def q_monthly_counts_nonnull(spark, sf_dir):
 
 
 def _rounded_mart(spark, sf_dir):
-    m = star_from_tables(spark, sf_dir).mart
-    return m.withColumn("avg_tmax_c", F.round("avg_tmax_c", ROUND))
+    return _exact_mart(spark, sf_dir)
 
 
 def q_low_year(spark, sf_dir):
@@ -363,7 +361,7 @@ _ST = """
 st AS (
   SELECT s.s_suppkey,
          ['AG','AR','BR','CA','EG','ET','FR','GM','IN','ID','IR','IZ','JA',
-          'JO','KE','MO','MZ','PE','CH','RO','SA','VM','RS','UK','US'][n.n_nationkey + 1]
+          'JO','KE','MO','MZ','PE','CH','RO','SA','VM','RS','UK','US'][s.s_nationkey + 1]
            || lpad(CAST(s.s_suppkey AS VARCHAR), 9, '0') AS id,
          CAST(CAST(42 + s.s_acctbal / 1000 AS DECIMAL(8,5)) AS VARCHAR) AS latitude,
          CAST(CAST(-60 - s.s_acctbal / 1000 AS DECIMAL(8,5)) AS VARCHAR) AS longitude,
@@ -373,7 +371,7 @@ st AS (
          CASE WHEN s.s_acctbal > 9000 THEN 'GSN' ELSE '' END AS gsn_flag,
          CASE WHEN s.s_acctbal BETWEEN 0 AND 1000 THEN 'HCN' ELSE '' END AS hcn_crn_flag,
          CASE WHEN s.s_acctbal >= 0 THEN lpad(CAST(s.s_suppkey AS VARCHAR), 5, '0') ELSE '' END AS wmo_id
-  FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
+  FROM supplier s
 )"""
 
 _LINES = """
@@ -475,12 +473,20 @@ dim_date AS (
   FROM (SELECT DISTINCT observation_date AS date_day FROM fct)
 )"""
 
-_MART = """
+def _exact_mean_sql(c: str, units: int, digits: int = ROUND) -> str:
+    s = f"sum(CAST(round({c} * {units}) AS BIGINT))"
+    n = f"count({c})"
+    return (f"CASE WHEN {n} > 0 THEN CAST(sign({s}) * ((abs({s}) * {2 * 10 ** digits // units} + {n}) // (2 * {n})) "
+            f"AS DOUBLE) / {float(10 ** digits)} END")
+
+
+_MART = f"""
 mart AS (
   SELECT CAST(year(observation_date) AS INTEGER) AS observation_year,
          count(DISTINCT station_id) AS station_count, count(tmax_c) AS tmax_days, count(station_id) AS station_days,
-         avg(tmax_c) AS avg_tmax_c, avg(tmin_c) AS avg_tmin_c, avg(tavg_c) AS avg_tavg_c,
-         avg(prcp_mm) AS avg_prcp_mm, avg(snow_fall_mm) AS avg_snow_mm, avg(snwd_depth_mm) AS avg_snwd_mm
+         {_exact_mean_sql('tmax_c', 10)} AS avg_tmax_c, {_exact_mean_sql('tmin_c', 10)} AS avg_tmin_c,
+         {_exact_mean_sql('tavg_c', 10)} AS avg_tavg_c, {_exact_mean_sql('prcp_mm', 10)} AS avg_prcp_mm,
+         {_exact_mean_sql('snow_fall_mm', 1)} AS avg_snow_mm, {_exact_mean_sql('snwd_depth_mm', 1)} AS avg_snwd_mm
   FROM fct GROUP BY 1
 )"""
 
@@ -524,10 +530,6 @@ def _with(chain: str, body: str) -> str:
     return "WITH " + ",".join(_CHAINS[chain]) + "\n" + body
 
 
-def _rr(c: str, digits: int = ROUND) -> str:
-    return f"round({c}, {digits}) AS {c}"
-
-
 def _pct(part: str, whole: str, digits: int) -> str:
     return f"round({part} * 100.0 / {whole}, {digits})"
 
@@ -537,8 +539,7 @@ def _oracles() -> dict[str, str]:
     o["yearly_mart"] = _with("mart", f"""
 SELECT observation_year, station_count, tmax_days, station_days,
        round(tmax_days / station_days, 3) AS tmax_share,
-       {_rr('avg_tmax_c')}, {_rr('avg_tmin_c')}, {_rr('avg_tavg_c')}, {_rr('avg_prcp_mm')},
-       {_rr('avg_snow_mm')}, {_rr('avg_snwd_mm')}
+       avg_tmax_c, avg_tmin_c, avg_tavg_c, avg_prcp_mm, avg_snow_mm, avg_snwd_mm
 FROM mart""")
     o["wide_station_days"] = _with("wide", "SELECT * FROM wide")
     o["scaled_elements"] = _with("wide", " UNION ALL ".join(
@@ -650,7 +651,7 @@ FROM (SELECT year, count(*) AS count FROM wide GROUP BY year)""")
     o["monthly_counts_nonnull"] = _with(
         "wide", f"SELECT month, count(*) AS count FROM wide WHERE year = {MONTH_YEAR} AND tmax IS NOT NULL GROUP BY month")
     o["low_year"] = _with("mart", f"""
-SELECT observation_year, avg_tmax_c FROM (SELECT observation_year, {_rr('avg_tmax_c')} FROM mart)
+SELECT observation_year, avg_tmax_c FROM mart
 WHERE avg_tmax_c IS NOT NULL ORDER BY avg_tmax_c, observation_year LIMIT 1""")
     o["first_last_complete"] = _with("mart", f"""
 SELECT min(observation_year) AS first_year, arg_min(station_count, observation_year) AS first_station_count,
@@ -658,7 +659,7 @@ SELECT min(observation_year) AS first_year, arg_min(station_count, observation_y
        max(station_count) FILTER (WHERE observation_year = {INCOMPLETE_FROM - 1}) AS last_complete_station_count
 FROM mart""")
     o["incomplete_flag"] = _with("mart", f"""
-SELECT observation_year, station_count, {_rr('avg_tmax_c')}, observation_year >= {INCOMPLETE_FROM} AS incomplete
+SELECT observation_year, station_count, avg_tmax_c, observation_year >= {INCOMPLETE_FROM} AS incomplete
 FROM mart""")
     o["check_not_null"] = _with("prep", "SELECT * FROM prep WHERE date IS NULL")
     o["check_unique"] = _with("prep", """

@@ -59,3 +59,21 @@ def test_star_query_sums_by_province_and_season(spark):
     on = out[("ON", "winter")]
     assert (on.stations, on.station_days, on.tmax_days, on.avg_tmax_c) == (1, 2, 1, 5.0)
     assert out[("QC", "summer")].avg_prcp_mm is None  # no precipitation reported: null, not an error
+
+
+def test_exact_mean_ties_signs_and_partitioning(spark):
+    from pyspark.sql import functions as F
+
+    # 400 values averaging exactly 0.69175: a tie at 4 decimals, rounded half away from zero
+    vals = [0.7] * 367 + [0.6] * 33
+    assert sum(round(v * 10) for v in vals) == 2767
+    df = spark.createDataFrame([(v, -v) for v in vals], "x double, y double")
+    for parts in (1, 3, 7):
+        r = df.repartition(parts).agg(
+            models.exact_mean("x", 10, 4).alias("x"), models.exact_mean("y", 10, 4).alias("y")).first()
+        assert (r.x, r.y) == (0.6918, -0.6918)
+    empty = spark.createDataFrame([(None,)], "x double").agg(models.exact_mean("x", 10, 4).alias("m"))
+    assert empty.first().m is None
+    ints = spark.createDataFrame([(1,), (2,)], "s int").agg(models.exact_mean("s", 1, 4).alias("m"))
+    assert ints.first().m == 1.5
+    assert F is not None

@@ -70,21 +70,50 @@ def dim_date(stg_obs: DataFrame) -> DataFrame:
     return days.withColumns(date_attributes("date_day"))
 
 
-def mart_yearly_climate(fct: DataFrame) -> DataFrame:
+# Fact measures averaged by the mart: (column, stored precision as units per 1, output name).
+MART_MEASURES = [
+    ("tmax_c", 10, "avg_tmax_c"),
+    ("tmin_c", 10, "avg_tmin_c"),
+    ("tavg_c", 10, "avg_tavg_c"),
+    ("prcp_mm", 10, "avg_prcp_mm"),
+    ("snow_fall_mm", 1, "avg_snow_mm"),
+    ("snwd_depth_mm", 1, "avg_snwd_mm"),
+]
+
+
+def exact_mean(column: str, units: int, digits: int):
+    """Mean of values stored at a precision of ``1/units`` (tenths: 10), computed from
+    their exact integer sum and rounded half away from zero to ``digits`` decimals; null
+    without values. Unlike a floating-point ``avg``, the result does not depend on the
+    order in which partitions are summed, so reruns are identical bit for bit."""
+    if (10 ** digits) % units:
+        raise ValueError("units must divide 10**digits")
+    total = F.sum(F.round(F.col(column) * units).cast("long"))
+    n = F.count(column)
+    a = F.abs(total) * (2 * 10 ** digits // units) + n
+    b = n * 2
+    q = (a - F.pmod(a, b)) / b  # exact: a - (a mod b) is a multiple of b
+    return F.when(n > 0, F.signum(total) * q / F.lit(float(10 ** digits)))
+
+
+def mart_yearly_climate(fct: DataFrame, exact_digits: int | None = None) -> DataFrame:
     """One row per year. ``station_count`` = distinct stations; ``tmax_days`` counts only
     non-null TMAX; averages skip nulls. Spark plans the distinct count as partial
     aggregation on (year, station) and then on year, so no raw row crosses the network
-    twice and a hot station is collapsed map-side."""
+    twice and a hot station is collapsed map-side.
+
+    With ``exact_digits`` the averages are :func:`exact_mean` values (deterministic,
+    rounded half-up to that many decimals) instead of floating-point ``avg``.
+    """
+    means = [
+        (F.avg(c) if exact_digits is None else exact_mean(c, u, exact_digits)).alias(name)
+        for c, u, name in MART_MEASURES
+    ]
     return fct.groupBy(F.year("observation_date").alias("observation_year")).agg(
         F.countDistinct("station_id").alias("station_count"),
         F.count("tmax_c").alias("tmax_days"),
         F.count("station_id").alias("station_days"),
-        F.avg("tmax_c").alias("avg_tmax_c"),
-        F.avg("tmin_c").alias("avg_tmin_c"),
-        F.avg("tavg_c").alias("avg_tavg_c"),
-        F.avg("prcp_mm").alias("avg_prcp_mm"),
-        F.avg("snow_fall_mm").alias("avg_snow_mm"),
-        F.avg("snwd_depth_mm").alias("avg_snwd_mm"),
+        *means,
     )
 
 

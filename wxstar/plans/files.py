@@ -92,12 +92,9 @@ def q_bucketed_fact(spark, sf_dir):
     root = scratch_dir(spark, "bucketed")
     name = f"fct_bucketed_{uuid.uuid4().hex[:8]}"
     sinks.write_bucketed_fact(star_from_tables(spark, sf_dir).fct, name, BUCKETS, path=root)
-    m = models.with_tmax_share(models.mart_yearly_climate(spark.table(name)))
+    m = models.with_tmax_share(models.mart_yearly_climate(spark.table(name), exact_digits=ROUND))
     avgs = ["avg_tmax_c", "avg_tmin_c", "avg_tavg_c", "avg_prcp_mm", "avg_snow_mm", "avg_snwd_mm"]
-    return m.select(
-        "observation_year", "station_count", "tmax_days", "station_days", "tmax_share",
-        *[F.round(a, ROUND).alias(a) for a in avgs],
-    )
+    return m.select("observation_year", "station_count", "tmax_days", "station_days", "tmax_share", *avgs)
 
 
 def q_ingest_year(spark, sf_dir):
@@ -216,11 +213,9 @@ FROM y GROUP BY file_year""")
 SELECT year, month, count(*) AS rows FROM wide
 WHERE NOT (year = {REPLACE_YEAR} AND month = '{DROPPED_MONTH}') GROUP BY year, month""")
     o["atomic_replace"] = w("stations", "SELECT * FROM stations")
-    o["bucketed_fact"] = w("mart", f"""
+    o["bucketed_fact"] = w("mart", """
 SELECT observation_year, station_count, tmax_days, station_days, round(tmax_days / station_days, 3) AS tmax_share,
-       round(avg_tmax_c, {ROUND}) AS avg_tmax_c, round(avg_tmin_c, {ROUND}) AS avg_tmin_c,
-       round(avg_tavg_c, {ROUND}) AS avg_tavg_c, round(avg_prcp_mm, {ROUND}) AS avg_prcp_mm,
-       round(avg_snow_mm, {ROUND}) AS avg_snow_mm, round(avg_snwd_mm, {ROUND}) AS avg_snwd_mm
+       avg_tmax_c, avg_tmin_c, avg_tavg_c, avg_prcp_mm, avg_snow_mm, avg_snwd_mm
 FROM mart""")
     o["ingest_year"] = w("wide", f"SELECT * FROM wide WHERE year = {REPLACE_YEAR}")
     o["backfill_years"] = w("wide", "SELECT year, count(*) AS count FROM wide GROUP BY year")
