@@ -346,8 +346,33 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_yearly_mart(spark, SMOKE_DIR)
 
 
+def _llm():
+    """The training-data subpackage and its pipeline; None where they are not installed."""
+    try:
+        import corpus_pipeline
+        import wxstar.llm.queries as llm_queries
+    except ModuleNotFoundError as e:
+        if e.name not in ("corpus_pipeline", "wxstar.llm", "wxstar.llm.queries"):
+            raise
+        return None
+    return llm_queries, corpus_pipeline
+
+
+def _with_package(query):
+    """Python workers import the package from here when it isn't installed on them."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.sparkContext.environment.setdefault("PYTHONPATH", os.path.dirname(os.path.abspath(__file__)))
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    out = dict(_QUERIES)
+    if llm := _llm():
+        out.update({name: _with_package(q) for name, q in (llm[0].QUERIES | {"pipeline": llm[1].run}).items()})
+    return out
 
 
 # ---------------------------------------------------------------------------
@@ -734,4 +759,9 @@ FROM mart m FULL OUTER JOIN prof p ON m.observation_year = p.observation_year"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return _oracles()
+    out = _oracles()
+    if llm := _llm():
+        out.update(llm[0].ORACLE_SQL)
+        if llm[1].ORACLE_SQL:
+            out["pipeline"] = llm[1].ORACLE_SQL
+    return out
