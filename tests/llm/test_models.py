@@ -1,0 +1,104 @@
+"""Toxicity, quality and language models: held-out accuracy, gradients, decoding, odd input."""
+
+import numpy as np
+
+from wxstar.llm import features, language_id, quality, queries, toxicity
+from wxstar.llm.common import table, text_or_empty
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_language_held_out(spark):
+    got = queries.op10_language_id(spark, SF).join(table(spark, SF, "documents").select("doc_id", "lang"), "doc_id").where("held_out").toPandas()
+    assert len(got) > 200 and (got.lang_pred == got.lang).mean() > 0.98
+    assert got.score.between(0, 1).all()
+
+
+def test_quality_held_out(spark):
+    got = queries.op2_quality(spark, SF).join(table(spark, SF, "labels"), "doc_id").where("held_out").toPandas()
+    assert ((got.score >= 0.3) == (got.quality == 1)).mean() > 0.95
+
+
+def test_toxicity_held_out(spark):
+    got = queries.op7_toxicity(spark, "/root/testdata/sf0.1").join(
+        table(spark, "/root/testdata/sf0.1", "labels"), "doc_id").where("held_out").toPandas()
+    toxic = got.toxic == 1
+    assert (got.predicted[toxic] == 1).mean() > 0.75 and (got.predicted[~toxic] == 1).mean() < 0.03
+
+
+def test_misspelt_words_share_subwords():
+    rng = np.random.default_rng(0)
+    plain = [" ".join(rng.choice("alpha bravo charlie delta echo golf hotel india".split(), 40)) for _ in range(80)]
+    model = toxicity.fit([(t, 0) for t in plain] + [(t + " idiot stupid idiot", 1) for t in plain])
+    unseen = plain[0] + " idiott stupidd idiiot"
+    assert toxicity.logit(model, unseen) > toxicity.logit(model, plain[0]) + 1
+
+
+def test_word_buckets_tell_words_apart():
+    one = toxicity.word_buckets(next(features.word_codes("ab ba ab")))
+    assert one[0] == one[2] != one[1] and len(one) == 3
+
+
+def test_ngrams_across_chunks_cover_whole_text(monkeypatch):
+    text = "word " * 50
+    whole = sum(len(features.ngram_buckets(c, 3, 12, True)) for c in features.word_codes(text))
+    monkeypatch.setattr(features, "CHUNK", 25)
+    assert sum(len(features.ngram_buckets(c, 3, 12, True)) for c in features.word_codes(text)) == whole
+
+
+def test_attention_gradient_matches_differences():
+    rng = np.random.default_rng(1)
+    g = lambda *s: rng.normal(0, 0.3, s)
+    m = quality.MilModel(g(5, 4), g(4), g(4, 3), g(4, 3), g(3), g(4), g(1), np.zeros(5), np.ones(5))
+    x, starts, d = g(7, 5), np.array([0, 3, 4]), g(3)
+    for part, grad in zip(m.parts(), quality.gradients(m, x, starts, d)):
+        for i in np.ndindex(part.shape):
+            old, at = part[i], []
+            for step in (1e-5, -1e-5):
+                part[i] = old + step
+                at.append(float(quality.forward(m, x, starts)[0] @ d))
+            part[i] = old
+            assert abs((at[0] - at[1]) / 2e-5 - grad[i]) < 1e-6
+
+
+def test_passages_cover_the_text():
+    assert len(quality.encode_text("w " * 200)) == 4 and len(quality.encode_text("")) == 1
+    assert len(quality.encode_text("w " * 128)) == 2
+    assert quality.encode_text("same same same other")[0, -5] == 0.5
+
+
+def test_decoding_corrects_a_wrong_bit():
+    code = language_id.codewords(5)
+    model = language_id.CodedClassifier(list("abcde"), code, None, None, np.full(code.shape, 1 / code.shape[1]))
+    z = code * 3.0
+    z[:, 0] *= -1
+    assert language_id.decode(model, z)[0].tolist() == [0, 1, 2, 3, 4]
+    least = min((code[i] != code[j]).sum() for i in range(5) for j in range(i))
+    assert least >= 3
+
+
+def test_odd_texts(spark, odd_docs, no_docs):
+    lang = language_id.fit([("the cat and the dog", "en"), ("der Hund und die Katze", "de")] * 3)
+    assert language_id.identify(odd_docs, lang).count() == odd_docs.count()
+    und = language_id.identify(odd_docs.where("text is null or trim(text) in ('', '!!! ??? ...')"), lang).toPandas()
+    assert (und.lang_pred == "und").all() and (und.score == 0).all()
+    assert language_id.identify(no_docs, lang).count() == 0
+    for model in (toxicity.fit([("good text", 0), ("bad text", 1)]), toxicity.fit([]), toxicity.fit([("x", 0)])):
+        s = odd_docs.select(toxicity.score(text_or_empty(), model).alias("s")).toPandas().s
+        assert s.between(0, 1).all() and len(s) == odd_docs.count()
+    for model in (quality.fit([("good text", 1), ("bad | | |", 0)]), quality.fit([]), quality.fit([("x", 1)])):
+        s = odd_docs.select(quality.score(text_or_empty(), model).alias("s")).toPandas().s
+        assert s.between(0, 1).all() and len(s) == odd_docs.count()
+    assert toxicity.reject_toxic(odd_docs, toxicity.fit([])).columns == odd_docs.columns
+    assert (language_id.identify(odd_docs, None).toPandas().lang_pred == "und").all()
+
+
+def test_held_out_rows_and_nulls_never_teach(spark):
+    import zlib
+
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(60)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2 if i % 7 else None) for i in range(60)] + [(None, 1), (99, 1)], "doc_id bigint, toxic int")
+    got = features.labelled_sample(docs, labels, "toxic", 3, 1, 1000)
+    want = {(f"text {i}", i % 2) for i in range(60) if i % 7 and zlib.crc32(str(i).encode()) % 3 != 1}
+    assert set(got) == want
+    assert len(features.labelled_sample(docs, labels, "toxic", 3, 1, 10)) <= 10

@@ -5,7 +5,8 @@ Documents are cut into pieces of at most ``size`` tokens. The lengths' histogram
 use each multiset of lengths that fits a sequence, so that every piece is covered by as
 few sequences as can be. Multiplicative weights solve it: each round prices the lengths, an unbounded
 knapsack by dynamic programming finds the best-paying configuration, and the lengths it serves lose
-weight. The uses are rounded down, what is left is packed best-fit, longest first,
+weight. The uses are rounded down, what is left is packed best-fit, longest first (of three such roundings the one
+with fewest sequences is taken),
 and the plan (ranges of equal-length pieces by configuration) is joined back to the pieces.
 
 Pieces of one length get their numbers from counts by (length, salt) and a window inside
@@ -34,7 +35,7 @@ from tokenizers import Tokenizer, pre_tokenizers
 from wxstar.llm.common import ID, TEXT, materialize, text_or_empty
 
 SIZE = 2048
-ROUNDS = 120
+ROUNDS = 200
 SALT_ROWS = 200_000  # pieces of one length and salt that one window numbers
 CACHE = 700_000  # words whose ids a Python worker keeps
 
@@ -139,34 +140,44 @@ def plan(histogram: dict[int, int], size: int = SIZE, rounds: int = ROUNDS) -> l
     if left[size]:
         out.append((int(left[size]), {size: 1}))
         left[size] = 0
+    if left.any():
+        fractional = solve(left, size, rounds)
+        full = [(c, uses) for c, uses in fractional if c @ np.arange(size + 1) == size]
+        # rounding down all configurations, those without lost room, or none: the fewest sequences count
+        out += min((rounded(left, chosen, size) for chosen in (fractional, full, [])), key=lambda p: sum(n for n, _ in p))
+    return out
+
+
+def solve(left: np.ndarray, size: int, rounds: int) -> list[tuple[np.ndarray, float]]:
+    """A fractional cover of the counts, most used first: the average over the second half of
+    the multiplicative-weights rounds (in the first half the prices still settle)."""
     need = left.astype(float)
-    if need.any():
-        configs: dict[bytes, float] = {}
-        log_w = np.where(need > 0, 0.0, -np.inf)
-        served = np.zeros(size + 1)
-        there = need > 0
-        for _ in range(rounds):
-            w = np.where(there, np.exp(log_w - log_w[there].max()), 0)
-            c = knapsack(np.where(there, w / np.maximum(need, 1), 0), size)
-            used = c > 0
-            step = float((need[used] / c[used]).min())  # uses that just meet the scarcest length
-            key = c.tobytes()
-            configs[key] = configs.get(key, 0) + step
+    there = need > 0
+    log_w = np.where(there, 0.0, -np.inf)
+    configs: dict[bytes, float] = {}
+    served = np.zeros(size + 1)
+    for k in range(rounds):
+        w = np.where(there, np.exp(log_w - log_w[there].max()), 0)
+        c = knapsack(np.where(there, w / np.maximum(need, 1), 0), size)
+        used = c > 0
+        step = float((need[used] / c[used]).min())  # uses that just meet the scarcest length
+        log_w[used] -= 0.5 * step * c[used] / need[used]
+        if 2 * k >= rounds:
+            configs[c.tobytes()] = configs.get(c.tobytes(), 0) + step
             served += step * c
-            log_w[used] -= 0.5 * step * c[used] / need[used]
-        scale = float((served[there] / need[there]).mean())
-        for key, uses in sorted(configs.items(), key=lambda kv: -kv[1]):
-            c = np.frombuffer(key, np.int64)
-            used = c > 0
-            if c @ np.arange(size + 1) < size:
-                continue  # room would be lost; best fit does better with these lengths
-            n = int(min(np.floor(uses / max(scale, 1e-9)), (left[used] // c[used]).min()))
-            if n > 0:
-                left -= n * c
-                out.append((n, {int(k): int(c[k]) for k in np.flatnonzero(used)}))
-        # what rounding and surplus leave: the same prices' configurations while they fill, then best fit
-        out += best_fit(left, size)
-    return out
+    scale = float((served[there] / need[there]).mean())
+    return [(np.frombuffer(key, np.int64), uses / scale) for key, uses in sorted(configs.items(), key=lambda kv: (-kv[1], kv[0]))]
+
+
+def rounded(left: np.ndarray, fractional: list[tuple[np.ndarray, float]], size: int) -> list[tuple[int, dict[int, int]]]:
+    """Whole uses: rounded down, never beyond the counts; the rest best fit."""
+    left, out = left.copy(), []
+    for c, uses in fractional:
+        n = int(min(np.floor(uses), (left[c > 0] // c[c > 0]).min()))
+        if n > 0:
+            left -= n * c
+            out.append((n, {int(k): int(c[k]) for k in np.flatnonzero(c)}))
+    return out + best_fit(left, size)
 
 
 def best_fit(left: np.ndarray, size: int) -> list[tuple[int, dict[int, int]]]:
