@@ -54,3 +54,22 @@ def with_row_ids(df: DataFrame, id_col: str = ID, out: str = "__rid") -> DataFra
         return df.withColumn(out, F.col(id_col).cast("bigint"))
     return materialize(
         df.sort(F.col(id_col).asc_nulls_last()).withColumn(out, F.monotonically_increasing_id()), "rows")
+
+
+MARK_BITS = 1 << 24
+
+
+def only_marked(df: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """The rows of ``df`` that may have one of ``ids`` in ``id_col``, before a join that decides.
+
+    Hashed ids set bits in a bitmap of ``MARK_BITS`` (2 MB, however many ids there are),
+    which is broadcast. With more ids more rows pass; none that has a match is ever lost.
+    """
+    place = F.pmod(F.xxhash64(id_col), F.lit(MARK_BITS))
+    bitmap = materialize(ids.select(place.alias("__place")).groupBy(F.bitmap_bucket_number("__place").alias("__bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("__place")).alias("__bits")), "marks")
+    at = F.bitmap_bit_position("__place")
+    byte = F.conv(F.hex(F.substring("__bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = df.withColumn("__place", place).withColumn("__bucket", F.bitmap_bucket_number("__place")).join(
+        F.broadcast(bitmap), "__bucket")
+    return marked.where(F.getbit(byte.cast("bigint"), (at % 8).cast("int")) == 1).select(*df.columns)
