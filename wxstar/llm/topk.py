@@ -95,7 +95,8 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     for radius in range(max(w for _, w in bounds) + 1):
         probes = by_segment(waiting, "code", bounds).withColumn("__flip", F.explode(flips(radius, bounds))).select(
             "seg", F.col("value").bitwiseXOR(F.col("__flip")).alias("near"), "code", "bound")
-        met = probes.join(posted, ["seg", "near"]).where(apart(F.col("code"), F.col("found")) <= F.col("bound")).select(
+        # exploded sides look small to the planner: without the hint it may broadcast them
+        met = probes.hint("merge").join(posted.hint("merge"), ["seg", "near"]).where(apart(F.col("code"), F.col("found")) <= F.col("bound")).select(
             "code", "found").distinct()
         rows = met.join(index.withColumnRenamed("code", "found"), "found").select(
             "code", apart(F.col("code"), F.col("found")).alias("distance"), F.explode("ids").alias("id"))
