@@ -46,8 +46,10 @@ def test_dynamic_overwrite_alone_would_leave_month_stale(spark, tmp_path):
     sd = lambda months: jobs.transform_observations(
         jobs.split_by_quality(jobs.prepare_observations(obs_rows(spark, _year_rows(2024, months))))[0])
     sinks.write_partitioned(sd([1, 2]), out)
-    sinks.write_partitioned(sd([1]), out)  # session default: dynamic
+    sd([1]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(out)
     assert _months(spark, out, 2024) == ["01", "02"]  # the trap replace_years avoids
+    sinks.write_partitioned(sd([1]), out)  # the sink's own write doesn't follow the session's mode
+    assert _months(spark, out, 2024) == ["01"]
 
 
 def test_replace_years_leaves_other_years(spark, tmp_path):
@@ -276,3 +278,65 @@ def test_star_schema_with_bucketed_fact(spark, tmp_path):
     assert built["mart_yearly_climate"].first().station_days == 3
     assert plan_text(models.mart_yearly_climate(built["fct_daily_weather"])).count("hashpartitioning(") == 1
     assert all(r.failures == 0 for r in built["data_tests"].collect())
+
+
+def _land(folder, name, dates, station="CA000000001"):
+    import gzip
+
+    folder.mkdir(exist_ok=True)
+    with gzip.open(folder / name, "wt") as f:
+        for d in dates:
+            f.write(f"{station},{d},TMAX,100,,,S,\n")
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_backfill_of_a_range_leaves_other_years(spark, tmp_path, mode):
+    src, out = tmp_path / "src", str(tmp_path / "out")
+    for y in (2021, 2022, 2023):
+        _land(src, f"{y}.csv.gz", [f"{y}0105", f"{y}0205"])
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        jobs.backfill(spark, str(src), out, 2021, 2023)
+        _land(src, "2022.csv.gz", ["20220105"])  # February goes
+        clean, _ = jobs.backfill(spark, str(src), out, 2022, 2023)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    got = sorted((r.year, r.month) for r in read_station_days(spark, clean).select("year", "month").collect())
+    assert got == [(2021, "01"), (2021, "02"), (2022, "01"), (2023, "01"), (2023, "02")]
+
+
+def test_every_row_of_the_scope_is_accounted_for(spark, tmp_path):
+    src, out = tmp_path / "src", str(tmp_path / "out")
+    _land(src, "2024.csv.gz", ["20240105", "20230105", "20250105", "20230230", "junk"])
+    clean, quarantine = jobs.ingest_year(spark, str(src), out, 2024)
+    reasons = sorted((r.year, r.reason) for r in spark.read.parquet(quarantine).collect())
+    assert reasons == [(2024, "bad_date"), (2024, "bad_date"), (2024, "out_of_window"), (2024, "out_of_window")]
+    assert read_station_days(spark, clean).count() == 1
+    assert spark.read.schema("id string").parquet(jobs.undated_path(out)).count() == 0
+
+
+def test_stream_keeps_a_year_that_is_split_over_micro_batches(spark, tmp_path):
+    from wxstar.streaming.incremental import start_incremental_ingest
+
+    src, out = tmp_path / "landing", str(tmp_path / "out")
+    _land(src, "2024_a.csv.gz", ["20240105", "20240106"])
+    _land(src, "2024_b.csv.gz", ["20240205"])
+    _land(src, "2025.csv.gz", ["20250105", "20240230"])  # a stray text must not wipe 2024
+    start_incremental_ingest(spark, str(src), out, checkpoint=str(tmp_path / "ck"), max_files_per_trigger=1).awaitTermination()
+    got = sorted(str(r.date) for r in read_station_days(spark, f"{out}/processed/observations.parquet").collect())
+    assert got == ["2024-01-05", "2024-01-06", "2024-02-05", "2025-01-05"]
+    bad = spark.read.parquet(f"{out}/quarantined/observations.parquet").collect()
+    assert [(r.year, r.reason) for r in bad] == [(2025, "bad_date")]
+
+
+def test_replace_is_one_write_job_for_any_number_of_years(spark, tmp_path):
+    rows = obs_rows(spark, [r for y in range(2000, 2012) for r in _year_rows(y, [1])])
+    prepared = jobs.split_by_quality(jobs.prepare_observations(rows))[0]
+    sc = spark.sparkContext
+    sc.setJobGroup("replace-years", "count jobs")
+    try:
+        sinks.replace_years(prepared, str(tmp_path / "q"), range(2000, 2012))
+    finally:
+        sc.setJobGroup("other", "other")
+    assert len(sc.statusTracker().getJobIdsForGroup("replace-years")) <= 3
+    assert spark.read.parquet(str(tmp_path / "q")).select("year").distinct().count() == 12

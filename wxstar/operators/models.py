@@ -92,7 +92,7 @@ def exact_mean(column: str, units: int, digits: int):
     n = F.count(column)
     a = F.abs(total) * (2 * 10 ** digits // units) + n
     b = n * 2
-    q = (a - F.pmod(a, b)) / b  # exact: a - (a mod b) is a multiple of b
+    q = F.call_function("div", a, b)  # integer division: exact beyond 2^53
     return F.when(n > 0, F.signum(total) * q / F.lit(float(10 ** digits)))
 
 

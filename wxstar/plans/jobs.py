@@ -54,16 +54,17 @@ def undated_path(out_root: str) -> str:
 
 def ingest(
     raw: DataFrame, out_root: str, years: Iterable[int] | str | None = None, order_key: str | None = None,
-    country: str = DEFAULT_COUNTRY, elements: list[str] = CORE_ELEMENTS,
+    country: str = DEFAULT_COUNTRY, elements: list[str] = CORE_ELEMENTS, undated_key: str | None = None,
 ) -> tuple[str, str]:
     """scan -> prepare -> split -> quarantine write -> pivot -> clean write.
 
     With ``years`` each listed year directory is replaced whole (a rerun of a year is
-    idempotent, a vanished month disappears); ``years="from_data"`` replaces the years
-    present in the input (one small distinct over the persisted scope: at most one value
-    per calendar year); without, the outputs are written fresh in one job each (backfill).
-    Rejected rows without any year go to :func:`undated_path` in the replacing modes (a
-    fresh backfill keeps them in the default partition), so no row is dropped.
+    idempotent, a vanished month disappears); ``years="from_data"`` replaces the years of
+    :func:`touched_years`; without, both outputs are written fresh in one job each.
+    In the replacing modes no row of the scope is dropped: a good row of another year is
+    quarantined as ``out_of_window``, a rejected row whose date text names another year stays
+    with its file's year, and what then has no year of the run goes to :func:`undated_path`
+    (a fresh write keeps rows without a year in the default partition).
 
     The prepared scope (already ~14x smaller than the raw scan) is persisted because both
     writes read it; on executor loss its blocks are recomputed from the source files.
@@ -71,28 +72,39 @@ def ingest(
     and no ``order_key`` is given, repeated cells resolve to the first row in file order.
     """
     clean_path, quarantine_path = _outputs(out_root)
-    prepared = prepare_observations(raw, country, elements)
+    file_year = F.col("source_year") if "source_year" in raw.columns else F.lit(None).cast("int")
+    prepared = prepare_observations(raw.withColumn("__file_year", file_year), country, elements)
     if order_key is None and "src_file" in prepared.columns:
         prepared, order_key = with_source_order(prepared), "src_order"  # first row in file order
     prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         clean, rejected = split_by_quality(prepared)
-        station_days = transform_observations(clean, order_key, elements)
         if years is None:
-            write_partitioned(rejected, quarantine_path)
-            write_partitioned(station_days, clean_path)
+            write_partitioned(rejected.drop("__file_year"), quarantine_path)
+            write_partitioned(transform_observations(clean.drop("__file_year"), order_key, elements), clean_path)
         else:
-            if years == "from_data":
-                years = [r[0] for r in prepared.select("year").distinct().collect() if r[0] is not None]
-            years = sorted(set(years))
+            years = touched_years(prepared) if years == "from_data" else sorted(set(years))
+            inside = F.coalesce(F.col("year").isin(years), F.lit(False))
+            outside = clean.filter(~inside).withColumn("reason", F.lit("out_of_window"))
+            in_file = F.when(F.col("__file_year").isin(years), F.col("__file_year"))
+            rejected = rejected.unionByName(outside).withColumn(
+                "year", F.when(inside, F.col("year")).otherwise(in_file)).drop("__file_year")
             replace_years(rejected, quarantine_path, years)
-            replace_undated(rejected, undated_path(out_root), years)
-            replace_years(station_days, clean_path, years)
+            replace_undated(rejected, undated_path(out_root), years, undated_key)
+            clean = clean.filter(inside).drop("__file_year")
+            replace_years(transform_observations(clean, order_key, elements), clean_path, years)
     finally:
         prepared.unpersist()
     return clean_path, quarantine_path
 
 
+def touched_years(prepared: DataFrame) -> list[int]:
+    """The years of valid dates and, for rows without one, of their files: at most one value per
+    calendar year, however dirty the date text is."""
+    year = F.coalesce(F.year("date"), F.col("__file_year"))
+    return sorted(r[0] for r in prepared.select(year.alias("y")).distinct().collect() if r[0] is not None)
+
+
 def ingest_year(spark: SparkSession, source_prefix: str, out_root: str, year: int) -> tuple[str, str]:
     """The one-year job: ``{source_prefix}/{year}.csv.gz`` -> that year's partitions."""
     raw = with_source_year(read_observations(spark, year_paths(source_prefix, [year]), with_position=True))
@@ -101,10 +113,10 @@ def ingest_year(spark: SparkSession, source_prefix: str, out_root: str, year: in
 
 def backfill(spark: SparkSession, source_prefix: str, out_root: str, first: int, last: int) -> tuple[str, str]:
     """All years in one job: one scan over every yearly file (one task per ``.gz``), one
-    shuffle for the pivot, fresh outputs. Replaces the one-run-per-year submission loop."""
+    shuffle for the pivot. Replaces exactly the years ``first`` to ``last``; others stay."""
     raw = with_source_year(
         read_observations(spark, year_paths(source_prefix, range(first, last + 1)), with_position=True))
-    return ingest(raw, out_root)
+    return ingest(raw, out_root, years=range(first, last + 1))
 
 
 def refresh_window(as_of: _dt.datetime | _dt.date, years: int = 2) -> list[int]:

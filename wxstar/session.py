@@ -55,7 +55,11 @@ def scratch_dir(spark: SparkSession, name: str = "") -> str:
         sc = None
     root = sc.getCheckpointDir() if sc is not None else None
     if not root:
-        root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="wxstar-")
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            if not spark.conf.get("spark.master", "").startswith("local["):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+            root = tempfile.mkdtemp(prefix="wxstar-")
         if sc is not None:
             sc.setCheckpointDir(root)  # so DataFrame.checkpoint() writes there too
     root = root.rstrip("/")

@@ -2,9 +2,8 @@
 
 Replace semantics: Spark's *dynamic* partition overwrite replaces only the partitions
 present in the new output, so a month that vanished from a year's re-run would stay
-stale. ``replace_years`` therefore overwrites every listed year directory as a whole
-(static overwrite of ``year=Y``), which is the intended "a year is the unit of
-replacement".
+stale. ``replace_years`` therefore swaps every listed year directory as a whole: a year
+is the unit of replacement.
 """
 
 from __future__ import annotations
@@ -27,6 +26,7 @@ def write_partitioned(df: DataFrame, path: str, mode: str = "overwrite") -> None
     (
         df.hint("rebalance", *PARTITION_COLS)
         .write.mode(mode)
+        .option("partitionOverwriteMode", "static")  # not the session's: a fresh write replaces all
         .partitionBy(*PARTITION_COLS)
         .parquet(path)
     )
@@ -48,27 +48,34 @@ def replace_years(df: DataFrame, path: str, years: Iterable[int]) -> None:
     """Replace each ``year=Y`` directory under ``path`` with exactly the rows of ``df``
     for that year (also when ``df`` has none for a month, or none at all for the year).
 
-    Each year is a static overwrite of its own directory with ``partitionBy("month")``,
-    so other years are never touched and reruns are idempotent. The per-write
-    ``partitionOverwriteMode=static`` option matters when the session default is dynamic.
+    One job writes all years beside the target, whatever their number; only when it has
+    ended well are the year directories swapped, so a failed write leaves the old years in
+    place. Other years are never touched, reruns are idempotent, and the session's
+    overwrite mode plays no part.
     """
-    for y in sorted(set(years)):
-        part = df.filter(F.col("year") == y).drop("year")
-        (
-            part.hint("rebalance", "month")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy("month")
-            .parquet(f"{path.rstrip('/')}/year={y}")
-        )
-
-
-def replace_undated(df: DataFrame, path: str, years: Iterable[int]) -> None:
+    years, root = sorted(set(years)), path.rstrip("/")
+    spark = df.sparkSession
+    stage = f"{root}.staged-{uuid.uuid4().hex[:12]}"
+    write_partitioned(df.filter(F.col("year").isin(years)), stage)
+    jvm = spark._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    at = lambda *parts: jvm.org.apache.hadoop.fs.Path("/".join(parts))
+    fs.mkdirs(at(root))
+    for y in years:
+        new, old = at(stage, f"year={y}"), at(root, f"year={y}")
+        fs.delete(old, True)
+        if fs.exists(new) and not fs.rename(new, old):
+            raise OSError(f"could not move {new} to {old}")
+    fs.delete(at(stage), True)
+    spark.catalog.refreshByPath(root)
+
+
+def replace_undated(df: DataFrame, path: str, years: Iterable[int], key: str | None = None) -> None:
     """Rows without any year (no usable date text, no year in the file name) from a run
     that replaces ``years``: written to ``{path}/years=<y1-y2..>``, replaced when the same
-    year set is rerun, so they are neither lost nor duplicated. Kept outside the
+    year set is rerun, so they are neither lost nor duplicated (``key`` names a run that always sees all of them). Kept outside the
     ``year=/month=`` tree, whose partition layout they do not fit."""
-    key = "-".join(str(y) for y in sorted(set(years))) or "none"
+    key = key or "-".join(str(y) for y in sorted(set(years))) or "none"
     (
         df.filter(F.col("year").isNull()).drop("year", "month")
         .write.mode("overwrite").option("partitionOverwriteMode", "static")

@@ -44,7 +44,10 @@ def _country_code() -> Column:
 
 
 def _station_id() -> Column:
-    return F.concat(_country_code(), F.lpad(F.col("s_suppkey").cast("string"), 9, "0"))
+    key = F.col("s_suppkey").cast("string")
+    # lpad would cut a wider key, and two stations could share an id
+    wide = F.raise_error(F.lit("supplier key does not fit the 9 digits of a station id"))
+    return F.concat(_country_code(), F.when(F.length(key) <= 9, F.lpad(key, 9, "0")).otherwise(wide))
 
 
 def supplier_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +67,8 @@ def supplier_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_name").alias("name"),
         F.when(bal > 9000, F.lit("GSN")).otherwise(F.lit("")).alias("gsn_flag"),
         F.when(bal.between(0, 1000), F.lit("HCN")).otherwise(F.lit("")).alias("hcn_crn_flag"),
-        F.when(bal >= 0, F.lpad(F.col("s_suppkey").cast("string"), 5, "0"))
+        # the field holds five digits; stations beyond have no WMO id rather than a cut one
+        F.when((bal >= 0) & (F.col("s_suppkey") < 100_000), F.lpad(F.col("s_suppkey").cast("string"), 5, "0"))
         .otherwise(F.lit(""))
         .alias("wmo_id"),
     )

@@ -2,9 +2,10 @@
 
 New or regenerated yearly observation files land in a folder; a streaming query with
 ``trigger(availableNow=True)`` picks up every file not yet processed (tracked in the
-checkpoint), and ``foreachBatch`` runs the batch ingest on them, replacing exactly the
-years present in the micro-batch. A replayed batch after a failure rewrites the same
-years with the same rows, so the sink is idempotent and the result exactly-once.
+checkpoint). ``foreachBatch`` finds the years that the new files touch, reads all landed
+files that may hold rows of those years again and replaces exactly those years. So a year spread over
+several files, or over several micro-batches, keeps all its rows; a replayed batch
+rewrites the same years with the same rows, and the result is exactly-once.
 """
 
 from __future__ import annotations
@@ -13,10 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from wxstar.functions.scalar import year_in_path
+from wxstar.functions.scalar import parse_obs_date, year_in_path
+from wxstar.operators.observations import prepare_observations
 from wxstar.plans import jobs
 from wxstar.schemas import CORE_ELEMENTS, DEFAULT_COUNTRY, OBSERVATION_SCHEMA
 from wxstar.session import scratch_dir
+from wxstar.sources.files import read_observations, with_source_year
 
 
 def observation_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -42,8 +45,17 @@ def start_incremental_ingest(
     The checkpoint goes to the shared checkpoint location unless given.
     """
     def _batch(batch: DataFrame, epoch_id: int) -> None:
-        jobs.ingest(batch, out_root, years="from_data", country=country, elements=elements)
+        # in the batch's own session; years come from valid dates and file names alone
+        new = prepare_observations(batch.withColumn("__file_year", F.col("source_year")), country, elements)
+        years = jobs.touched_years(new)
+        landed = with_source_year(read_observations(batch.sparkSession, landing_dir, with_position=True))
+        belongs = F.coalesce(F.year(parse_obs_date(F.col("date"))), F.col("source_year"))
+        landed = landed.filter(F.col("source_year").isNull() | F.col("source_year").isin(years) | belongs.isin(years)).filter(
+            belongs.isNull() | belongs.isin(years))
+        jobs.ingest(landed, out_root, years=years, country=country, elements=elements, undated_key="stream")
 
+    if not checkpoint and not spark.conf.get("spark.checkpoint.dir", None):
+        raise ValueError("a stream needs a checkpoint folder of its own that outlives the run")
     w = (
         observation_stream(spark, landing_dir, max_files_per_trigger)
         .writeStream.foreachBatch(_batch)
