@@ -59,17 +59,28 @@ def with_row_ids(df: DataFrame, id_col: str = ID, out: str = "__rid") -> DataFra
 MARK_BITS = 1 << 24
 
 
-def only_marked(df: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
-    """The rows of ``df`` that may have one of ``ids`` in ``id_col``, before a join that decides.
-
-    Hashed ids set bits in a bitmap of ``MARK_BITS`` (2 MB, however many ids there are),
-    which is broadcast. With more ids more rows pass; none that has a match is ever lost.
-    """
-    place = F.pmod(F.xxhash64(id_col), F.lit(MARK_BITS))
-    bitmap = materialize(ids.select(place.alias("__place")).groupBy(F.bitmap_bucket_number("__place").alias("__bucket")).agg(
+def marks(ids: DataFrame, id_col: str) -> DataFrame:
+    """A bitmap of ``MARK_BITS`` with the bits of the hashed ids set: 2 MB, however many ids there are."""
+    return materialize(ids.select(_mark(id_col).alias("__place")).groupBy(F.bitmap_bucket_number("__place").alias("__bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("__place")).alias("__bits")), "marks")
+
+
+def _mark(id_col: str) -> Column:
+    return F.pmod(F.xxhash64(id_col), F.lit(MARK_BITS))
+
+
+def by_marks(df: DataFrame, bitmap: DataFrame, id_col: str, marked: bool) -> DataFrame:
+    """The rows of ``df`` whose id's bit is set (or, with ``marked`` false, is not).
+
+    The bitmap is broadcast. With more ids more rows count as marked; a row whose id is among
+    them always does, so the join that decides needs the marked rows alone."""
     at = F.bitmap_bit_position("__place")
-    byte = F.conv(F.hex(F.substring("__bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    marked = df.withColumn("__place", place).withColumn("__bucket", F.bitmap_bucket_number("__place")).join(
-        F.broadcast(bitmap), "__bucket")
-    return marked.where(F.getbit(byte.cast("bigint"), (at % 8).cast("int")) == 1).select(*df.columns)
+    byte = F.conv(F.hex(F.substring("__bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("bigint")
+    bit = F.coalesce(F.getbit(byte, (at % 8).cast("int")), F.lit(0))
+    placed = df.withColumn("__place", _mark(id_col)).withColumn("__bucket", F.bitmap_bucket_number("__place"))
+    return placed.join(F.broadcast(bitmap), "__bucket", "left").where(bit == int(marked)).select(*df.columns)
+
+
+def only_marked(df: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """The rows of ``df`` that may have one of ``ids``, before a join that decides."""
+    return by_marks(df, marks(ids, id_col), id_col, True)
