@@ -97,11 +97,11 @@ SELECT u.page_id, u.host, u.path, hit.rule, coalesce(hit.action, 'allow') AS ver
 FROM u LEFT JOIN hit ON u.page_id = hit.page_id""",
     "op9_topk": """
 WITH c AS (
-  SELECT vec_id, list_transform(embedding, x -> CASE WHEN x > 0 THEN 1 ELSE 0 END) AS bits FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS bits FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) = 64),
 d AS (
   SELECT q.vec_id AS query_id, a.vec_id AS neighbor_id,
-         CAST(list_sum(list_transform(list_zip(q.bits, a.bits), p -> CASE WHEN p[1] <> p[2] THEN 1 ELSE 0 END)) AS INTEGER) AS distance
+         CAST(list_sum(list_transform(list_zip(q.bits, a.bits), lambda p: CASE WHEN p[1] <> p[2] THEN 1 ELSE 0 END)) AS INTEGER) AS distance
   FROM c q JOIN c a ON q.vec_id % 20 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, neighbor_id, distance
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS rank FROM d)
