@@ -157,7 +157,9 @@ def q_obs_time_fill(spark, sf_dir):
 
 
 def q_value_checks(spark, sf_dir):
-    return profiling.value_checks(_raw(spark, sf_dir))
+    """With the missing-value sentinel planted in every 97th source row."""
+    planted = F.when(F.col("src_order") % 97 == 0, F.lit("-9999")).otherwise(F.col("data_value"))
+    return profiling.value_checks(_raw(spark, sf_dir).withColumn("data_value", planted))
 
 
 def q_grain_check(spark, sf_dir):
@@ -213,12 +215,8 @@ def q_monthly_counts_nonnull(spark, sf_dir):
     return trends.monthly_counts(star_from_tables(spark, sf_dir).station_days, MONTH_YEAR, non_null="tmax")
 
 
-def _rounded_mart(spark, sf_dir):
-    return _exact_mart(spark, sf_dir)
-
-
 def q_low_year(spark, sf_dir):
-    return trends.low_year(_rounded_mart(spark, sf_dir))
+    return trends.low_year(_exact_mart(spark, sf_dir))
 
 
 def q_first_last_complete(spark, sf_dir):
@@ -226,7 +224,7 @@ def q_first_last_complete(spark, sf_dir):
 
 
 def q_incomplete_flag(spark, sf_dir):
-    return trends.incomplete_flag(_rounded_mart(spark, sf_dir), INCOMPLETE_FROM).select(
+    return trends.incomplete_flag(_exact_mart(spark, sf_dir), INCOMPLETE_FROM).select(
         "observation_year", "station_count", "avg_tmax_c", "incomplete"
     )
 
@@ -281,12 +279,6 @@ def q_reconcile_years(spark, sf_dir):
                                 "mart", "profile")
 
 
-def q_rerun_diff(spark, sf_dir):
-    first = star_from_tables(spark, sf_dir).station_days
-    second = star_from_tables(spark, sf_dir).station_days
-    return validation.rerun_diff(first, second)
-
-
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "yearly_mart": q_yearly_mart,
     "wide_station_days": q_wide_station_days,
@@ -335,7 +327,6 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "calendar_gaps": q_calendar_gaps,
     "data_tests": q_data_tests,
     "reconcile_years": q_reconcile_years,
-    "rerun_diff": q_rerun_diff,
 }
 _QUERIES.update(file_plans.QUERIES)
 
@@ -628,7 +619,7 @@ FROM raw""")
     o["value_checks"] = _with("raw", """
 SELECT count(*) FILTER (WHERE data_value = '-9999') AS sentinel_rows,
        count(*) FILTER (WHERE TRY_CAST(data_value AS INTEGER) IS NULL) AS non_numeric
-FROM raw""")
+FROM (SELECT CASE WHEN src_order % 97 = 0 THEN '-9999' ELSE data_value END AS data_value FROM raw)""")
     o["grain_check"] = _with("raw", f"""
 , sc AS (SELECT * FROM raw WHERE starts_with(id, 'CA') AND element IN {_ELEMENTS_SQL})
 SELECT 'whole' AS scope, (SELECT count(*) FROM raw) AS rows,
@@ -752,7 +743,6 @@ SELECT coalesce(m.observation_year, p.observation_year) AS observation_year,
        m.station_days AS mart_station_days, p.station_days AS profile_station_days,
        m.station_days - p.station_days AS diff_station_days
 FROM mart m FULL OUTER JOIN prof p ON m.observation_year = p.observation_year""")
-    o["rerun_diff"] = _with("wide", "SELECT *, 'x' AS side, CAST(0 AS BIGINT) AS copies FROM wide WHERE false")
     o.update(file_plans.oracles(_with))
     o["star_data_tests"] = o["data_tests"]
     return o

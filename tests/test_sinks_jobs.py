@@ -6,12 +6,13 @@ import gzip
 
 import pytest
 from conftest import obs_rows, plan_text
+from pyspark.sql import functions as F
 
 from wxstar.operators import models
 from wxstar.plans import jobs
 from wxstar.schemas import RAW_STATIONS_SCHEMA
 from wxstar.sinks import parquet as sinks
-from wxstar.sources.files import read_station_days
+from wxstar.sources.files import read_observations, read_station_days
 
 
 def _year_rows(year, months):
@@ -340,3 +341,50 @@ def test_replace_is_one_write_job_for_any_number_of_years(spark, tmp_path):
         sc.setJobGroup("other", "other")
     assert len(sc.statusTracker().getJobIdsForGroup("replace-years")) <= 3
     assert spark.read.parquet(str(tmp_path / "q")).select("year").distinct().count() == 12
+
+
+@pytest.mark.parametrize("open_cost", ["1", "4194304"])
+def test_repeated_cells_take_the_first_file_however_splits_are_packed(spark, tmp_path, open_cost):
+    landing = tmp_path / "many files"  # names that need encoding in a path
+    landing.mkdir()
+    for i in range(12):
+        rows = [f"CA{k:09d},20240101,TMAX,{100 * i + k},,,E,\n" for k in range(i, 30)]
+        with gzip.open(landing / f"f{i:02d}.csv.gz", "wt") as f:
+            f.writelines(rows)
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", open_cost)
+    try:
+        raw = read_observations(spark, str(landing), with_position=True)
+        clean, _ = jobs.ingest(raw, str(tmp_path / "out"))
+        got = {r.id: r.tmax for r in read_station_days(spark, clean).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+    assert got == {f"CA{k:09d}": k / 10 for k in range(30)}
+
+
+def test_tables_loaded_together_switch_together(spark, tmp_path):
+    from pyspark.sql.types import IntegerType, StructField, StructType
+
+    schema = StructType([StructField("k", IntegerType())])
+    rows = lambda n: spark.range(n).select(F.col("id").cast("int").alias("k"))
+    root = str(tmp_path / "raw")
+    sinks.load_together(spark, {"a": (rows(3), schema, 3), "b": (rows(4), schema, 4)}, root)
+    with pytest.raises(ValueError):
+        sinks.load_together(spark, {"a": (rows(5), schema, 5), "b": (rows(6), schema, 7)}, root)
+    counts = lambda: [sinks.read_loaded(spark, root, n, schema).count() for n in "ab"]
+    assert counts() == [3, 4]
+    sinks.load_together(spark, {"a": (rows(5), schema, 5), "b": (rows(6), schema, 6)}, root)
+    assert counts() == [5, 6]
+
+
+def test_metrics_of_a_run_count_its_years_alone(spark, tmp_path):
+    src = tmp_path / "src"
+    src.mkdir()
+    for y in (2023, 2024):
+        with gzip.open(src / f"{y}.csv.gz", "wt") as f:
+            f.write(f"CA000000001,{y}0101,TMAX,1,,,E,\nCA000000001,{y}0230,TMAX,1,,,E,\n"
+                    f"CA000000001,{y}0102,TMAX,1,,X,E,\nCA000000001,20220102,TMAX,1,,,E,\n")
+    jobs.backfill(spark, str(src), str(tmp_path / "out"), 2023, 2024)
+    paths = jobs.ingest_year(spark, str(src), str(tmp_path / "out"), 2024)
+    got = {r.metric: r.rows for r in jobs.run_metrics(spark, *paths, [2024]).collect()}
+    assert got == {"station_days": 1, "rejected_bad_date": 1, "rejected_q_flag": 1, "rejected_out_of_window": 1, "undated": 0}

@@ -53,11 +53,14 @@ def main(argv: list[str] | None = None) -> dict:
     spark = SparkSession.builder.appName(f"wxstar-{args.job}").getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     if args.job == "ingest-year":
+        years = [args.year]
         clean, quarantine = jobs.ingest_year(spark, args.source_prefix, args.output_prefix, args.year)
     elif args.job == "backfill":
+        years = range(args.first, args.last + 1)
         clean, quarantine = jobs.backfill(spark, args.source_prefix, args.output_prefix, args.first, args.last)
     elif args.job == "refresh":
         as_of = args.as_of or dt.datetime.now(dt.timezone.utc).date()
+        years = jobs.refresh_window(as_of, args.years)
         clean, quarantine = jobs.rolling_refresh(spark, args.source_prefix, args.output_prefix, as_of, args.years)
     elif args.job == "stations":
         jobs.build_stations(spark, args.source_path, args.output_path)
@@ -67,7 +70,7 @@ def main(argv: list[str] | None = None) -> dict:
         failing = built["data_tests"].filter("failures > 0")
         failing.show(truncate=False)  # the test report is the job's output
         return {"warehouse": args.warehouse}
-    jobs.run_metrics(spark, clean, quarantine).show()
+    jobs.run_metrics(spark, clean, quarantine, years).show()
     return {"clean": clean, "quarantine": quarantine}
 
 

@@ -16,17 +16,19 @@ from pyspark.sql import functions as F
 from wxstar.operators import models, profiling, trends, validation
 from wxstar.plans import jobs
 from wxstar.plans.star import star_from_tables
-from wxstar.schemas import OBSERVATION_COLUMNS, RAW_STATIONS_SCHEMA
+from wxstar.schemas import OBSERVATION_COLUMNS, RAW_OBSERVATIONS_SCHEMA, RAW_STATIONS_SCHEMA
 from wxstar.session import scratch_dir
 from wxstar.sinks import parquet as sinks
 from wxstar.sources import tables
-from wxstar.sources.files import read_observations, read_quarantine, read_station_days
+from wxstar.sources.files import read_observations, read_quarantine, read_station_days, read_yearly_extract
 
 REPLACE_YEAR = 1998
 DROPPED_MONTH = "02"
 BACKFILL_UNTIL = 1999           # first backfill covers the years up to this one
 AS_OF = _dt.date(2001, 6, 1)    # rolling refresh adds [2000, 2001]
 BUCKETS = 8
+FIRST_YEAR = 1995
+LANDING_FILES = 8          # files of one landing, in source order
 ROUND = 4
 
 
@@ -80,11 +82,45 @@ def q_year_replace(spark, sf_dir):
 
 
 def q_atomic_replace(spark, sf_dir):
+    """All stations, then those with a WMO id, then a load whose count is wrong: the second
+    load must be serving."""
     root = scratch_dir(spark, "atomic")
     stations = star_from_tables(spark, sf_dir).stations
+    with_wmo = stations.filter(F.col("wmo_id").isNotNull())
     name = f"raw_stations_{uuid.uuid4().hex[:8]}"
     sinks.atomic_replace(spark, stations, root, name, schema=RAW_STATIONS_SCHEMA)
-    return sinks.atomic_replace(spark, stations, root, name, schema=RAW_STATIONS_SCHEMA)
+    sinks.atomic_replace(spark, with_wmo, root, name, schema=RAW_STATIONS_SCHEMA)
+    try:
+        sinks.atomic_replace(spark, stations, root, name, schema=RAW_STATIONS_SCHEMA, expected_rows=-1)
+    except ValueError:
+        return spark.table(name)
+    raise AssertionError("a load with a wrong count was switched")
+
+
+def q_load_together(spark, sf_dir):
+    """Both raw tables loaded, then again with the first year cut off, then a load whose
+    second table fails its count: both tables keep the second load."""
+    root = f"{scratch_dir(spark, 'together')}/{sinks.table_name('raw')}"
+    s = star_from_tables(spark, sf_dir)
+    later = s.raw_obs_table.filter(F.year("date") > FIRST_YEAR)
+
+    def load(obs, expected=None):
+        return sinks.load_together(spark, {"raw_observations": (obs, RAW_OBSERVATIONS_SCHEMA, None),
+                                           "raw_stations": (s.stations, RAW_STATIONS_SCHEMA, expected)}, root)
+
+    load(s.raw_obs_table)
+    load(later)
+    try:
+        load(s.raw_obs_table, expected=-1)
+    except ValueError:
+        obs = sinks.read_loaded(spark, root, "raw_observations", RAW_OBSERVATIONS_SCHEMA)
+        stations = sinks.read_loaded(spark, root, "raw_stations", RAW_STATIONS_SCHEMA)
+        per_year = obs.groupBy(F.year("date").alias("year")).agg(F.count("*").alias("rows"))
+        return per_year.withColumn("model", F.lit("raw_observations")).unionByName(
+            stations.agg(F.count("*").alias("rows")).withColumns(
+                {"year": F.lit(None).cast("int"), "model": F.lit("raw_stations")})
+        ).withColumn("namespace", F.lit(root.rsplit("/", 1)[1]))
+    raise AssertionError("a load with a wrong count was switched")
 
 
 def q_bucketed_fact(spark, sf_dir):
@@ -127,6 +163,108 @@ def q_run_metrics(spark, sf_dir):
     return jobs.run_metrics(spark, clean, quarantine)
 
 
+def _yearly_files(spark, raw: DataFrame) -> str:
+    """``raw`` as a source of yearly files: ``{prefix}/{year}.csv.gz``, one file a year (the
+    layout that the jobs read), rows in source order."""
+    stage, prefix = scratch_dir(spark, "by-year-parts"), scratch_dir(spark, "by-year")
+    (
+        raw.withColumn("file_year", F.substring("date", 1, 4).cast("int"))
+        .repartition("file_year").sortWithinPartitions("file_year", "src_order")
+        .select(*OBSERVATION_COLUMNS, "file_year")
+        .write.partitionBy("file_year").option("compression", "gzip").csv(stage)
+    )
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(stage).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(prefix))
+    for part in fs.globStatus(path(f"{stage}/file_year=*/part-*")):  # one per calendar year
+        year = part.getPath().getParent().getName().split("=")[1]
+        if not fs.rename(part.getPath(), path(f"{prefix}/{year}.csv.gz")):
+            raise OSError(f"could not place the file of {year}")
+    return prefix
+
+
+def _without_month(raw: DataFrame) -> DataFrame:
+    return raw.filter(~F.coalesce(F.col("date").startswith(f"{REPLACE_YEAR}{DROPPED_MONTH}"), F.lit(False)))
+
+
+def q_job_ingest_year(spark, sf_dir):
+    """The one-year job over yearly files."""
+    clean, _ = jobs.ingest_year(spark, _yearly_files(spark, _raw(spark, sf_dir)), scratch_dir(spark, "job"), REPLACE_YEAR)
+    return read_station_days(spark, clean)
+
+
+def q_job_rolling_refresh(spark, sf_dir):
+    """Backfill up to 1999 from yearly files, then the two-year refresh as of mid-2001."""
+    src, root = _yearly_files(spark, _raw(spark, sf_dir)), scratch_dir(spark, "job")
+    jobs.backfill(spark, src, root, FIRST_YEAR, BACKFILL_UNTIL)
+    clean, _ = jobs.rolling_refresh(spark, src, root, AS_OF)
+    return read_station_days(spark, clean)
+
+
+def q_backfill_subrange(spark, sf_dir):
+    """Backfill of all years, then of 1998-1999 from files where February 1998 is gone: the
+    month goes, the other years stay."""
+    raw, root = _raw(spark, sf_dir), scratch_dir(spark, "job")
+    jobs.backfill(spark, _yearly_files(spark, raw), root, FIRST_YEAR, AS_OF.year)
+    clean, _ = jobs.backfill(spark, _yearly_files(spark, _without_month(raw)), root, REPLACE_YEAR, BACKFILL_UNTIL)
+    return read_station_days(spark, clean)
+
+
+def q_ingest_accounting(spark, sf_dir):
+    """One year's file with the December before planted in it: every row of the scope is a
+    clean row of the year or in the quarantine, by reason."""
+    raw, root = _raw(spark, sf_dir), scratch_dir(spark, "job")
+    landing = scratch_dir(spark, "strays")
+    in_file = F.col("date").startswith(str(REPLACE_YEAR)) | F.col("date").startswith(f"{REPLACE_YEAR - 1}12")
+    raw.filter(in_file).select(*OBSERVATION_COLUMNS).write.csv(landing)
+    src = read_observations(spark, landing, with_position=True).withColumn("source_year", F.lit(REPLACE_YEAR))
+    clean, quarantine = jobs.ingest(src, root, years=[REPLACE_YEAR])
+    return jobs.run_metrics(spark, clean, quarantine, [REPLACE_YEAR])
+
+
+def q_run_metrics_of_run(spark, sf_dir):
+    """Metrics of a one-year run over a lake that already holds all years."""
+    src, root = _yearly_files(spark, _raw(spark, sf_dir)), scratch_dir(spark, "job")
+    jobs.backfill(spark, src, root, FIRST_YEAR, AS_OF.year)
+    return jobs.run_metrics(spark, *jobs.ingest_year(spark, src, root, REPLACE_YEAR), [REPLACE_YEAR])
+
+
+def q_duplicate_cells_multi_file(spark, sf_dir):
+    """Rows in source order over many files, so copies of a cell lie in different files and
+    the first file's value counts: all station-days with their values."""
+    landing = scratch_dir(spark, "many")
+    (
+        _raw(spark, sf_dir).repartitionByRange(LANDING_FILES, "src_order").sortWithinPartitions("src_order")
+        .select(*OBSERVATION_COLUMNS).write.option("compression", "gzip").csv(landing)
+    )
+    clean, _ = jobs.ingest(read_observations(spark, landing, with_position=True), scratch_dir(spark, "job"))
+    return read_station_days(spark, clean)
+
+
+def q_rerun_diff(spark, sf_dir):
+    """Station-days of two runs, written and read back: the second lacks February 1998 and
+    reads TMAX one degree higher in January 1997."""
+    sd = star_from_tables(spark, sf_dir).station_days
+    month = lambda y, m: (F.col("year") == y) & (F.col("month") == m)
+    changed = sd.filter(~month(REPLACE_YEAR, DROPPED_MONTH)).withColumn(
+        "tmax", F.when(month(REPLACE_YEAR - 1, "01"), F.col("tmax") + 1).otherwise(F.col("tmax")))
+    old, new = (read_station_days(spark, sinks.write_station_days(df, scratch_dir(spark, "rerun")))
+                for df in (sd, changed))
+    return validation.rerun_diff(old, new)
+
+
+def q_reconcile_extract(spark, sf_dir):
+    """The mart against a published yearly extract (headed CSV) that counts one station too
+    many in 1998."""
+    mart = models.mart_yearly_climate(star_from_tables(spark, sf_dir).fct, exact_digits=ROUND)
+    published = scratch_dir(spark, "extract")
+    one_more = F.when(F.col("observation_year") == REPLACE_YEAR, 1).otherwise(0)
+    mart.select("observation_year", (F.col("station_count") + one_more).alias("station_count"), "avg_tmax_c").write.csv(
+        published, header=True)
+    return validation.reconcile(mart, read_yearly_extract(spark, published), "observation_year",
+                                ["station_count", "avg_tmax_c"], "mart", "extract")
+
+
 def _stations_file(spark, sf_dir) -> str:
     path = scratch_dir(spark, "stations-txt")
     tables.station_lines(spark, sf_dir).write.text(path)
@@ -155,24 +293,34 @@ def q_star_data_tests(spark, sf_dir):
     return _built_star(spark, sf_dir)["data_tests"]
 
 
-def q_stream_ingest(spark, sf_dir):
-    """Two landings of yearly CSV folders (up to 1999, then 2000-2001) consumed by the
-    incremental stream; yearly station-day counts of the result."""
+def _streamed(spark, sf_dir) -> DataFrame:
+    """Two landings of CSV files (up to 1999, then 2000-2001) consumed by the incremental
+    stream; files keep the source order."""
     from wxstar.streaming.incremental import start_incremental_ingest
 
     landing = scratch_dir(spark, "landing")
     out = scratch_dir(spark, "stream-out")
     ckpt = scratch_dir(spark, "stream-ckpt")
-    raw = _raw(spark, sf_dir).select(*OBSERVATION_COLUMNS)
+    raw = _raw(spark, sf_dir)
     year_text = F.substring("date", 1, 4).try_cast("int")
     for part, cond in (("a", year_text <= BACKFILL_UNTIL), ("b", year_text > BACKFILL_UNTIL)):
-        raw.filter(cond).write.option("compression", "gzip").csv(f"{landing}/{part}")
+        rows = raw.filter(cond).repartitionByRange(LANDING_FILES, "src_order").sortWithinPartitions("src_order")
+        rows.select(*OBSERVATION_COLUMNS).write.option("compression", "gzip").csv(f"{landing}/{part}")
         q = start_incremental_ingest(spark, f"{landing}/*", out, checkpoint=ckpt)
         q.awaitTermination()
-    sd = read_station_days(spark, f"{out}/processed/observations.parquet")
+    return read_station_days(spark, f"{out}/processed/observations.parquet")
+
+
+def q_stream_ingest(spark, sf_dir):
+    """Yearly station-day counts of the streamed lake."""
+    sd = _streamed(spark, sf_dir)
     return sd.groupBy("year").agg(F.count("*").alias("station_days"), F.countDistinct("id").alias("stations"))
 
 
+def q_stream_values(spark, sf_dir):
+    """All station-days of the streamed lake, with their values."""
+    return _streamed(spark, sf_dir)
+
 
 QUERIES = {
     "csv_roundtrip": q_csv_roundtrip,
@@ -190,6 +338,16 @@ QUERIES = {
     "star_schema_counts": q_star_schema_counts,
     "star_data_tests": q_star_data_tests,
     "stream_ingest": q_stream_ingest,
+    "stream_values": q_stream_values,
+    "load_together": q_load_together,
+    "job_ingest_year": q_job_ingest_year,
+    "job_rolling_refresh": q_job_rolling_refresh,
+    "backfill_subrange": q_backfill_subrange,
+    "ingest_accounting": q_ingest_accounting,
+    "run_metrics_of_run": q_run_metrics_of_run,
+    "duplicate_cells_multi_file": q_duplicate_cells_multi_file,
+    "rerun_diff": q_rerun_diff,
+    "reconcile_extract": q_reconcile_extract,
 }
 
 
@@ -212,7 +370,39 @@ FROM y GROUP BY file_year""")
     o["year_replace"] = w("wide", f"""
 SELECT year, month, count(*) AS rows FROM wide
 WHERE NOT (year = {REPLACE_YEAR} AND month = '{DROPPED_MONTH}') GROUP BY year, month""")
-    o["atomic_replace"] = w("stations", "SELECT * FROM stations")
+    o["atomic_replace"] = w("stations", "SELECT * FROM stations WHERE wmo_id IS NOT NULL")
+    o["load_together"] = w("all", f"""
+SELECT CAST(year AS INTEGER) AS year, count(*) AS rows, 'raw_observations' AS model, 'public_raw' AS namespace
+FROM wide WHERE year > {FIRST_YEAR} GROUP BY year
+UNION ALL SELECT NULL, (SELECT count(*) FROM stations), 'raw_stations', 'public_raw'""")
+    o["job_ingest_year"] = w("wide", f"SELECT * FROM wide WHERE year = {REPLACE_YEAR}")
+    o["job_rolling_refresh"] = o["duplicate_cells_multi_file"] = o["stream_values"] = w("wide", "SELECT * FROM wide")
+    o["backfill_subrange"] = w("wide", f"""
+SELECT * FROM wide WHERE NOT (year = {REPLACE_YEAR} AND month = '{DROPPED_MONTH}')""")
+    by_reason = f"""
+SELECT 'station_days' AS metric, (SELECT count(*) FROM (SELECT DISTINCT id, date FROM prep
+   WHERE q_flag IS NULL AND date IS NOT NULL AND year = {REPLACE_YEAR})) AS rows
+UNION ALL SELECT 'rejected_' || reason, count(*) FROM rejected WHERE year = {REPLACE_YEAR}{{more}} GROUP BY reason
+UNION ALL SELECT 'undated', 0"""
+    o["run_metrics_of_run"] = w("rejected", by_reason.format(more=""))
+    stray = f"year = {REPLACE_YEAR - 1} AND month = '12'"
+    o["ingest_accounting"] = w("rejected", by_reason.format(more=f" OR ({stray})") + f"""
+UNION ALL SELECT 'rejected_out_of_window', count(*) FROM prep WHERE q_flag IS NULL AND date IS NOT NULL AND {stray}
+HAVING count(*) > 0""")
+    o["rerun_diff"] = w("wide", f"""
+SELECT *, 'old_only' AS side, CAST(1 AS BIGINT) AS copies FROM wide
+WHERE (year = {REPLACE_YEAR} AND month = '{DROPPED_MONTH}')
+   OR (year = {REPLACE_YEAR - 1} AND month = '01' AND tmax IS NOT NULL)
+UNION ALL
+SELECT * REPLACE (tmax + 1 AS tmax), 'new_only', 1 FROM wide
+WHERE year = {REPLACE_YEAR - 1} AND month = '01' AND tmax IS NOT NULL""")
+    o["reconcile_extract"] = w("mart", f"""
+, x AS (SELECT observation_year, station_count + CASE WHEN observation_year = {REPLACE_YEAR} THEN 1 ELSE 0 END AS station_count,
+               avg_tmax_c FROM mart WHERE avg_tmax_c IS NOT NULL)
+SELECT m.observation_year, m.station_count AS mart_station_count, x.station_count AS extract_station_count,
+       m.station_count - x.station_count AS diff_station_count, m.avg_tmax_c AS mart_avg_tmax_c,
+       x.avg_tmax_c AS extract_avg_tmax_c, m.avg_tmax_c - x.avg_tmax_c AS diff_avg_tmax_c
+FROM mart m LEFT JOIN x ON m.observation_year = x.observation_year""")
     o["bucketed_fact"] = w("mart", """
 SELECT observation_year, station_count, tmax_days, station_days, round(tmax_days / station_days, 3) AS tmax_share,
        avg_tmax_c, avg_tmin_c, avg_tavg_c, avg_prcp_mm, avg_snow_mm, avg_snwd_mm

@@ -17,15 +17,18 @@ from wxstar.operators.stations import transform_stations
 from wxstar.schemas import (
     CORE_ELEMENTS,
     DEFAULT_COUNTRY,
+    QUARANTINE_SCHEMA,
     RAW_OBSERVATIONS_SCHEMA,
     RAW_STATIONS_SCHEMA,
     STATIONS_LAYOUT,
 )
 from wxstar.sinks.parquet import (
     conform,
+    load_together,
     materialize,
     replace_undated,
     replace_years,
+    undated_name,
     write_bucketed_fact,
     write_partitioned,
     write_stations,
@@ -133,12 +136,28 @@ def rolling_refresh(
     return ingest(raw, out_root, years=window)
 
 
-def run_metrics(spark: SparkSession, clean_path: str, quarantine_path: str) -> DataFrame:
+def run_metrics(
+    spark: SparkSession, clean_path: str, quarantine_path: str, years: Iterable[int] | None = None
+) -> DataFrame:
     """Station-days written and rows quarantined, from the written files (a Parquet count
-    is answered from file metadata, no re-computation of the pipeline)."""
-    sd = read_station_days(spark, clean_path).agg(F.lit("station_days").alias("metric"), F.count("*").alias("rows"))
-    rj = read_quarantine(spark, quarantine_path).agg(F.lit("rejected").alias("metric"), F.count("*").alias("rows"))
-    return sd.unionByName(rj)
+    is answered from file metadata, no re-computation of the pipeline).
+
+    With the ``years`` that a run replaced, that run alone is counted, since it wrote these
+    year folders whole: its station-days, its rejected rows by reason, and its rows without
+    any year.
+    """
+    sd, rj = read_station_days(spark, clean_path), read_quarantine(spark, quarantine_path)
+    total = lambda df, name: df.agg(F.lit(name).alias("metric"), F.count("*").alias("rows"))
+    if years is None:
+        return total(sd, "station_days").unionByName(total(rj, "rejected"))
+    years = sorted(set(years))
+    undated = f"{quarantine_path.rstrip('/').rsplit('/', 1)[0]}/undated.parquet/years={undated_name(years)}"
+    reasons = rj.filter(F.col("year").isin(years)).groupBy("reason").agg(F.count("*").alias("rows"))
+    return (
+        total(sd.filter(F.col("year").isin(years)), "station_days")
+        .unionByName(reasons.select(F.concat(F.lit("rejected_"), "reason").alias("metric"), "rows"))
+        .unionByName(total(spark.read.schema(QUARANTINE_SCHEMA).parquet(undated), "undated"))
+    )
 
 
 def build_stations(
@@ -151,11 +170,23 @@ def build_stations(
     return read_stations_parquet(spark, out_path)
 
 
+def load_raw_tables(
+    spark: SparkSession, observations_path: str, stations_path: str, root: str
+) -> dict[str, DataFrame]:
+    """Both raw tables from the lake, switched together only when each holds as many rows as
+    its source (the counts come from Parquet footers)."""
+    obs, stations = read_station_days(spark, observations_path), read_stations_parquet(spark, stations_path)
+    return load_together(spark, {
+        "raw_observations": (obs, RAW_OBSERVATIONS_SCHEMA, obs.count()),
+        "raw_stations": (stations, RAW_STATIONS_SCHEMA, stations.count()),
+    }, root)
+
+
 def build_star_schema(
     spark: SparkSession, observations_path: str, stations_path: str, out_root: str, target: str = "dev",
     buckets: int | None = None,
 ) -> dict[str, DataFrame]:
-    """raw tables -> staging (views) -> dimensions, fact, mart (tables) + the test suite.
+    """both raw tables loaded together -> staging (views) -> dimensions, fact, mart (tables) + the test suite.
 
     With ``buckets`` the fact is stored bucketed by station and sorted by date (a catalog
     table at ``{out_root}/<marts>/fct_daily_weather``), so station-keyed work on it, such
@@ -164,10 +195,10 @@ def build_star_schema(
     """
     from wxstar.sinks.parquet import table_name
 
-    raw_obs = conform(read_station_days(spark, observations_path), RAW_OBSERVATIONS_SCHEMA)
-    raw_st = read_stations_parquet(spark, stations_path)
     stg, mart_ns = table_name("staging", target), table_name("marts", target)
     root = out_root.rstrip("/")
+    raw = load_raw_tables(spark, observations_path, stations_path, f"{root}/{table_name('raw', target)}")
+    raw_obs, raw_st = raw["raw_observations"], raw["raw_stations"]
     stg_obs = materialize(spark, models.stg_observations(raw_obs), f"{stg}__stg_observations", "view")
     stg_st = materialize(spark, models.stg_stations(raw_st), f"{stg}__stg_stations", "view")
     fct_name, fct_path = f"{mart_ns}__fct_daily_weather", f"{root}/{mart_ns}/fct_daily_weather"

@@ -3,6 +3,8 @@ materialisation and output namespaces."""
 
 from wxstar.sinks.parquet import (  # noqa: F401
     atomic_replace,
+    load_together,
+    read_loaded,
     conform,
     materialize,
     replace_undated,

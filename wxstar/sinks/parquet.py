@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 PARTITION_COLS = ("year", "month")
+CURRENT = "CURRENT"  # pointer file of tables that are loaded together
 
 
 def write_partitioned(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -70,12 +71,16 @@ def replace_years(df: DataFrame, path: str, years: Iterable[int]) -> None:
     spark.catalog.refreshByPath(root)
 
 
+def undated_name(years: Iterable[int]) -> str:
+    return "-".join(str(y) for y in sorted(set(years))) or "none"
+
+
 def replace_undated(df: DataFrame, path: str, years: Iterable[int], key: str | None = None) -> None:
     """Rows without any year (no usable date text, no year in the file name) from a run
     that replaces ``years``: written to ``{path}/years=<y1-y2..>``, replaced when the same
     year set is rerun, so they are neither lost nor duplicated (``key`` names a run that always sees all of them). Kept outside the
     ``year=/month=`` tree, whose partition layout they do not fit."""
-    key = key or "-".join(str(y) for y in sorted(set(years))) or "none"
+    key = key or undated_name(years)
     (
         df.filter(F.col("year").isNull()).drop("year", "month")
         .write.mode("overwrite").option("partitionOverwriteMode", "static")
@@ -121,13 +126,49 @@ def atomic_replace(
     return spark.table(name)
 
 
+def load_together(
+    spark: SparkSession, tables: dict[str, tuple[DataFrame, StructType, int | None]], root: str,
+) -> dict[str, DataFrame]:
+    """All-or-nothing load of several tables: ``name -> (rows, schema, expected row count)``.
+
+    Every table is written and counted under one fresh version folder; one rename of the
+    pointer file then switches all of them, for every session. A failed write or a wrong
+    count raises before that, and readers keep the previous version of every table. Old
+    version folders stay for readers that still use them.
+    """
+    root, version = root.rstrip("/"), f"v-{uuid.uuid4().hex[:12]}"
+    for name, (df, schema, expected) in tables.items():
+        path = f"{root}/{version}/{name}"
+        conform(df, schema).write.mode("errorifexists").parquet(path)
+        if expected is not None and (n := spark.read.schema(schema).parquet(path).count()) != expected:
+            raise ValueError(f"{name}: loaded {n} rows, expected {expected}; nothing switched")
+    jvm = spark._jvm
+    new, current = (jvm.org.apache.hadoop.fs.Path(f"{root}/{n}") for n in (f"pointer.{version}", CURRENT))
+    conf = spark._jsc.hadoopConfiguration()
+    out = new.getFileSystem(conf).create(new)
+    out.write(bytearray(version, "ascii"))
+    out.close()
+    rename = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    rename[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(new.toUri(), conf).rename(new, current, rename)
+    return {name: read_loaded(spark, root, name, schema) for name, (_, schema, _) in tables.items()}
+
+
+def read_loaded(spark: SparkSession, root: str, name: str, schema: StructType) -> DataFrame:
+    """The version of a table of :func:`load_together` that the pointer names now."""
+    root = root.rstrip("/")
+    version = spark.read.text(f"{root}/{CURRENT}").first().value
+    return spark.read.schema(schema).parquet(f"{root}/{version}/{name}")
+
+
 def write_bucketed_fact(
     fct: DataFrame, table: str, buckets: int, path: str | None = None
 ) -> None:
     """Fact layout for station-keyed work: bucketed by ``station_id`` and sorted by date,
     so a distinct count of stations per year or a join on station needs no exchange on
-    the station key (the warehouse's distribution/sort keys, re-expressed)."""
-    w = fct.write.mode("overwrite").bucketBy(buckets, "station_id").sortBy("observation_date")
+    the station key (the warehouse's distribution/sort keys, re-expressed). Rows are dealt by
+    station first, so a bucket is one sorted file instead of one per task."""
+    w = fct.repartition(buckets, "station_id").write.mode("overwrite").bucketBy(buckets, "station_id").sortBy("observation_date")
     if path:
         w = w.option("path", path)
     w.saveAsTable(table)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,9 @@ from wxstar.schemas import (
     YEARLY_EXTRACT_SCHEMA,
 )
 
+# Up to this many input files, their list (a path and a rank each) is broadcast.
+MAX_BROADCAST_FILES = 100_000
+
 
 def year_paths(prefix: str, years: Iterable[int], suffix: str = ".csv.gz") -> list[str]:
     """``{prefix}/{year}.csv.gz`` for every year: the by-year layout of the source."""
@@ -52,19 +56,36 @@ def with_source_year(df: DataFrame) -> DataFrame:
 
 
 def with_source_order(df: DataFrame, name: str = "src_order") -> DataFrame:
-    """Row position in the source as one ``bigint``: split start (in MiB) in the high
-    bits, the row's index within its task in the low 33 bits.
-
-    Within one split, rows keep file order and the index grows with it; splits of a
-    file start at least 4 MiB apart (Spark's minimum split size), so the key orders all
-    rows of a file as they appear in it. A ``bigint`` keeps the pivot a hash aggregate
-    (a struct key would force a sort-based one). Apply after filters: the row index is
-    non-deterministic for the optimizer and would stop their push-down; a recomputed
-    partition re-reads the same split and gets the same indexes.
+    """Row position in the source as one number that orders rows by (file name, exact split
+    start, row within the split), however Spark packs splits into tasks.
+
+    The three parts are digits of one ``decimal(38)``: the file's rank in the sorted list of
+    input files, the split's start byte, the row's index within its task (within one split it
+    grows in file order). A decimal keeps the pivot a hash aggregate; a struct or text key
+    would force a sort-based one. The ranks are joined on after the row index is taken; their
+    number is that of the input files, which the driver lists in any scan, and beyond
+    ``MAX_BROADCAST_FILES`` the join is a merge join. Apply after filters: the row index is
+    non-deterministic for the optimizer and would stop their push-down; a recomputed partition
+    re-reads the same split and gets the same indexes.
     """
+    # both sides name a file alike but for the slashes after the scheme
+    files = sorted({re.sub(r"^(\w[\w+.-]*):/+", r"\1:/", f) for f in df.inputFiles()})
+    at = F.regexp_replace("src_file", r"^(\w[\w+.-]*):/+", "$1:/")
+    ranks = df.sparkSession.range(1).select(
+        F.posexplode(F.lit(files).cast("array<string>")).alias("__rank", "__file")
+    ).hint("broadcast" if len(files) <= MAX_BROADCAST_FILES else "merge")
     row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    key = F.shiftleft(F.shiftright(F.col("src_block"), 20), 33).bitwiseOR(row)
-    return df.withColumn(name, key).drop("src_file", "src_block")
+    # a row without a rank would silently lose its cells
+    rank = F.coalesce("__rank", F.raise_error(F.concat(F.lit("not among the input files: "), at)).cast("int"))
+    digits = lambda c, n: c.cast(f"decimal({n},0)")
+    split = digits(rank, 9) * digits(F.lit(10**15), 16) + digits(F.col("src_block"), 15)
+    key = split.cast("decimal(26,0)") * digits(F.lit(10**10), 11) + digits(F.col("__row"), 10)
+    return (
+        df.withColumn("__row", row)
+        .join(ranks, at == F.col("__file"), "left")
+        .withColumn(name, key.cast("decimal(38,0)"))
+        .drop("src_file", "src_block", "__row", "__rank", "__file")
+    )
 
 
 def read_station_days(spark: SparkSession, path: str) -> DataFrame:
