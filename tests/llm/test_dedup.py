@@ -169,6 +169,45 @@ def test_planted_passages(spark):
     assert left[5].split() == texts[5][120:]
 
 
+@pytest.mark.parametrize("n", [50, 60, 70, 80, 90])
+def test_one_edit_in_a_short_passage(n):
+    for seed, at in enumerate((3, n // 3, n // 2, n - 4)):
+        rng = np.random.default_rng(n + seed)
+        passage = [f"p{i}" for i in range(n)]
+        edited = passage[:at] + ["changed"] + passage[at + 1:]
+        a = sub.shingle_hashes(" ".join(words(rng, 200) + edited + words(rng, 200)))
+        b = sub.shingle_hashes(" ".join(words(rng, 100) + passage + words(rng, 200)))
+        got = sub.verified(a, b, [(150, 300 + n, -100, -100)], 46, 0.8)
+        assert len(got) == 1 and got[0][4] >= 0.8
+        assert 195 <= got[0][0] <= 205 and got[0][1] <= 200 + n and got[0][1] - got[0][0] >= 46
+
+
+def test_inserted_words_count_on_one_side():
+    rng = np.random.default_rng(5)
+    passage, extra = words(rng, 80), words(rng, 8)
+    a = sub.shingle_hashes(" ".join(words(rng, 60) + passage[:40] + extra + passage[40:] + words(rng, 60)))
+    b = sub.shingle_hashes(" ".join(words(rng, 60) + passage + words(rng, 60)))
+    assert [x[:4] for x in sub.verified(a, b, [(30, 170, -8, 0)], 46, 0.8)] == [(60, 144, 60, 136)]
+
+
+def test_too_short_or_too_different_passages_fail():
+    rng = np.random.default_rng(6)
+    for n, step in ((41, 99), (44, 99), (80, 16)):
+        passage = words(rng, n)
+        near = [w if i % step != step - 1 else "changed" for i, w in enumerate(passage)]
+        a = sub.shingle_hashes(" ".join(words(rng, 90) + near + words(rng, 90)))
+        b = sub.shingle_hashes(" ".join(words(rng, 90) + passage + words(rng, 90)))
+        assert sub.verified(a, b, [(40, 130 + n, 0, 0)], 46, 0.8) == []
+
+
+def test_longest_segment():
+    rng = np.random.default_rng(7)
+    for _ in range(50):
+        total = np.concatenate([[0], np.cumsum(np.where(rng.random(60) < 0.8, 1, -4))])
+        a, b = sub.longest_segment(total)
+        assert total[b] >= total[a] and b - a == max(j - i for i in range(61) for j in range(i, 61) if total[j] >= total[i])
+
+
 def test_passage_shared_by_most_documents(spark, monkeypatch):
     rng = np.random.default_rng(2)
     passage = words(rng, 80)
