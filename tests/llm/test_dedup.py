@@ -200,6 +200,26 @@ def test_too_short_or_too_different_passages_fail():
         assert sub.verified(a, b, [(40, 130 + n, 0, 0)], 46, 0.8) == []
 
 
+@pytest.mark.parametrize("near", [0, 440])
+def test_earlier_document_holds_part_of_the_passage_twice(near):
+    rng = np.random.default_rng(11)
+    passage, between = words(rng, 90), words(rng, 500 - 30 - near)
+    line = passage[20:50]
+    texts = [words(rng, near) + line + between + passage + words(rng, 80), words(rng, 150) + passage + words(rng, 100)]
+    b, a = (sub.shingle_hashes(" ".join(x)) for x in texts)
+    # a window centred in the line is linked to the line's first copy, the others to the passage
+    first, second = near - 170, 500 - 150
+    found = np.array([(0, 140, 110, first), (1, 150, 86, second), (2, 145, 92, second), (3, 160, 76, first)])
+    got = sub.verified(a, b, sub.agreed_stretches(found, 2), 46, 0.8)
+    assert [x[:4] for x in got] == [(150, 236, 500, 586)] and got[0][4] == 1
+
+
+def test_clusters_of_shifts():
+    found = np.array([(0, 10, 80, 5), (1, 12, 80, 7), (2, 10, 90, 400)])
+    assert sub.agreed_stretches(found, 2) == [(10, 92, 5, 400), (10, 92, 5, 7), (10, 92, 400, 400), (10, 90, 5, 5), (12, 92, 7, 7)]
+    assert sub.agreed_stretches(found[:1].repeat(2, 0) + [[0, 0, 0, 0], [1, 0, 0, 0]], 2) == [(10, 90, 5, 5)]
+
+
 def test_longest_segment():
     rng = np.random.default_rng(7)
     for _ in range(50):
