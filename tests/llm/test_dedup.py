@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -238,6 +239,35 @@ def test_passage_shared_by_most_documents(spark, monkeypatch):
     assert all(r.end_word - r.start_word >= 80 for r in got)
 
 
+def linked_pairs(texts, deal=lambda rows: rows, flush=None):
+    """Verified (later, earlier) of the texts, without Spark; ``flush`` rows are linked together."""
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array([" ".join(t) for t in texts])], names=["__rid", "__text"])
+    rows = deal(sub._windows_of(batch, 46, 6))
+    rows = rows[np.lexsort((rows[:, 3], rows[:, 2], rows[:, 1], rows[:, 0]))]
+    met, lead = {}, None
+    for i in range(0, len(rows), flush or len(rows)):
+        made, lead = sub._links(rows[i:i + (flush or len(rows))], lead, 46)
+        for later, earlier, *link in made.tolist():
+            met.setdefault((later, earlier), []).append(link)
+    shingles = [sub.shingle_hashes(" ".join(t)) for t in texts]
+    return {(a, b) for (a, b), found in met.items()
+            if sub.verified(shingles[a], shingles[b], sub.agreed_stretches(np.array(found), 2), 46, 0.8)}
+
+
+def test_links_when_the_lead_is_like_only_one_of_two():
+    found = shared = 0
+    for seed in range(20):
+        rng = np.random.default_rng(seed)
+        first = [f"{seed}p{i}" for i in range(60)]
+        second = first[:15] + ["changed"] + first[16:]
+        third = second[:45] + ["altered"] + second[46:]  # 0.8 like the second, not like the first
+        found += (2, 1) in linked_pairs([words(rng, 50) + p + words(rng, 50) for p in (first, second, third)])
+        line, rest = words(rng, 40), words(rng, 15)
+        texts = [words(rng, 50) + line + words(rng, 50)] + [words(rng, 50) + line + rest + words(rng, 50) for _ in range(2)]
+        shared += (2, 1) in linked_pairs(texts)
+    assert found >= 19 and shared == 20
+
+
 def test_hot_keys_stay_linked():
     rows = np.zeros((200, 5), np.int64)
     rows[:, 0], rows[:, 2] = 77 * 8, np.arange(200)
