@@ -277,6 +277,42 @@ def test_hot_keys_stay_linked():
         assert dealt[dealt[:, 1] == salt, 2].min() == 0
 
 
+@pytest.mark.parametrize("flush", [None, 300])
+def test_hot_line_in_a_passage_of_two(flush):
+    found = 0
+    for seed in range(4):
+        rng = np.random.default_rng(seed)
+        line, rest = words(rng, 40), words(rng, 15)
+        texts = [words(rng, 50) + line + words(rng, 50) for _ in range(90)]
+        for i in (30, 89):
+            texts[i] = words(rng, 50) + line + rest + words(rng, 50)
+        found += (89, 30) in linked_pairs(texts, sub._salted, flush)
+    assert found == 4
+
+
+def test_kept_rows_link_like_one_flush():
+    rng = np.random.default_rng(3)
+    rows = np.zeros((400, 6), np.int64)
+    rows[:, 0], rows[:, 2], rows[:, 4] = 77 * 8, np.sort(rng.integers(0, 200, 400)), (30 << 32) | 30
+    rows[:, 3], rows[:, 5] = (rng.integers(0, 500, 400) << 32) | rng.integers(0, 9, 400), rng.integers(0, 9, 400)
+    rows = rows[np.lexsort((rows[:, 3], rows[:, 2]))]
+    held, parts = None, []
+    for i in range(0, 400, 50):
+        made, held = sub._links(rows[i:i + 50], held, 46)
+        parts.append(made)
+    assert np.array_equal(np.unique(np.concatenate(parts), axis=0), sub._links(rows, None, 46)[0])
+
+
+def test_hot_numbers_of_a_sample(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    monkeypatch.setattr(sub, "SAMPLE", 1)
+    passage = words(rng, 80)
+    rows = spark.createDataFrame([(i, " ".join(words(rng, 20) + passage + words(rng, 20))) for i in range(80)], "__rid bigint, __text string")
+    hot = sub.hot_numbers(rows, 46, 6)
+    assert len(hot) and (np.diff(hot) > 0).all()
+    assert sub.repeated_passages(rows).select("later").distinct().count() == 79
+
+
 def test_removing_words_keeps_the_rest():
     assert sub.without_words("a b\nc  d e", [(1, 3)]) == "a d e"
     assert sub.without_words("a b c", [(0, 2), (1, 3)]) == ""
