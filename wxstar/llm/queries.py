@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wxstar.llm import (
-    language_id, mixing, packing, quality, simhash, substring_dedup, topk, toxicity, url_filter, winnowing,
+    language_id, merkle, mixing, packing, quality, simhash, substring_dedup, topk, toxicity, url_filter, winnowing,
 )
 from wxstar.llm.common import crc_fold, table, text_or_empty
 
@@ -74,11 +74,79 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.coalesce(crc_fold(F.col("doc_id"), merkle.TAMPER) == 0, F.lit(False))
+    start = F.when(tampered, merkle.leaf(merkle.lower_ascii(F.col("text"))))
+    proven = merkle.manifest(docs, tampered=start)
+    return proven.select(
+        "doc_id", "leaf", "subroot", "root",
+        F.sha2(F.concat_ws("", F.col("path.digests")).cast("binary"), 256).alias("proof_sha256"),
+        merkle.fold(F.coalesce("tampered", "leaf"), F.col("path")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_quality, op3_winnowing, op4_mixing, op5_substring_dedup, op6_packing, op7_toxicity, op8_simhash,
-    op9_topk, op10_language_id)}
+    op9_topk, op10_language_id, op13_merkle)}
+
+# unsigned CRC-32 of the decimal {id}, bit by bit (DuckDB has no function for it)
+_CRC = """xor(list_reduce(list_prepend(4294967295, list_transform(range(1, strlen(CAST({id} AS VARCHAR)) + 1),
+          lambda k: CAST(ascii(substr(CAST({id} AS VARCHAR), CAST(k AS INTEGER), 1)) AS BIGINT))),
+        lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+          lambda x, z: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"""
 
 ORACLE_SQL = {
+    "op13_merkle": f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce('=' || source, '') AS tree, text,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+         coalesce({_CRC.format(id="doc_id")} % 5 = 0, false) AS tampered
+  FROM documents),
+l AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r,
+         CASE WHEN tampered THEN sha256(head || coalesce(strlen(low) || ':' || low, '-')) ELSE leaf END AS start
+  FROM (SELECT *, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf FROM d)),
+node(tree, h, i, dig) AS (
+  SELECT tree, 0, r, leaf FROM l
+  UNION ALL
+  SELECT tree, h + 1, i // 16, sha256(string_agg(dig, '' ORDER BY i))
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM node) WHERE n > 1 GROUP BY tree, h, i // 16),
+sub AS (SELECT tree, max(h) AS tops, arg_max(dig, h) AS subroot FROM node GROUP BY tree),
+s AS (SELECT *, row_number() OVER (ORDER BY tree) - 1 AS p FROM sub),
+top(h, i, dig) AS (
+  SELECT 0, p, subroot FROM s
+  UNION ALL
+  SELECT h + 1, i // 16, sha256(string_agg(dig, '' ORDER BY i))
+  FROM (SELECT *, count(*) OVER () AS n FROM top) WHERE n > 1 GROUP BY h, i // 16),
+root AS (SELECT max(h) AS tops, arg_max(dig, h) AS root FROM top),
+others AS (
+  SELECT l.tree, l.r, 0 AS stage, n.h, n.i, n.dig FROM l JOIN node n ON n.tree = l.tree
+    AND n.i // 16 = l.r // CAST(pow(16, n.h + 1) AS BIGINT) AND n.i <> l.r // CAST(pow(16, n.h) AS BIGINT)
+  UNION ALL
+  SELECT l.tree, l.r, 1, t.h, t.i, t.dig FROM l JOIN s ON s.tree = l.tree JOIN top t
+    ON t.i // 16 = s.p // CAST(pow(16, t.h + 1) AS BIGINT) AND t.i <> s.p // CAST(pow(16, t.h) AS BIGINT)),
+proof AS (SELECT tree, r, sha256(string_agg(dig, '' ORDER BY stage, h, i)) AS proof FROM others GROUP BY tree, r),
+up(tree, r, h, k, dig) AS (
+  SELECT tree, r, 0, r, start FROM l
+  UNION ALL
+  SELECT up.tree, up.r, up.h + 1, up.k // 16,
+         sha256(string_agg(CASE WHEN n.i = up.k THEN up.dig ELSE n.dig END, '' ORDER BY n.i))
+  FROM up JOIN s ON s.tree = up.tree JOIN node n ON n.tree = up.tree AND n.h = up.h AND n.i // 16 = up.k // 16
+  WHERE up.h < s.tops GROUP BY up.tree, up.r, up.h, up.k),
+up2(tree, r, h, k, dig) AS (
+  SELECT up.tree, up.r, 0, s.p, up.dig FROM up JOIN s ON s.tree = up.tree AND up.h = s.tops
+  UNION ALL
+  SELECT u.tree, u.r, u.h + 1, u.k // 16,
+         sha256(string_agg(CASE WHEN t.i = u.k THEN u.dig ELSE t.dig END, '' ORDER BY t.i))
+  FROM up2 u JOIN root ON u.h < root.tops JOIN top t ON t.h = u.h AND t.i // 16 = u.k // 16
+  GROUP BY u.tree, u.r, u.h, u.k)
+SELECT l.doc_id, l.leaf, s.subroot, root.root, coalesce(proof.proof, sha256('')) AS proof_sha256,
+       f.dig AS folded_root, f.dig = root.root AS verified
+FROM l JOIN s ON s.tree = l.tree CROSS JOIN root JOIN up2 f ON f.tree = l.tree AND f.r = l.r AND f.h = root.tops
+LEFT JOIN proof ON proof.tree = l.tree AND proof.r = l.r""",
     "op1_url_filter": r"""
 WITH u AS (
   SELECT page_id,
