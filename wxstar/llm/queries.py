@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wxstar.llm import (
-    language_id, merkle, mixing, packing, quality, simhash, substring_dedup, topk, toxicity, url_filter, winnowing,
+    conversation_trie, language_id, merkle, mixing, packing, quality, simhash, substring_dedup, topk, toxicity, url_filter, winnowing,
 )
 from wxstar.llm.common import crc_fold, table, text_or_empty
 
@@ -74,6 +74,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seqs = conversation_trie.sequences(table(spark, sf_dir, "conversations"))
+    return conversation_trie.trie(conversation_trie.rebuilt(seqs, group=20, head=crc_fold(F.col("conv_id"), 4)))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     tampered = F.coalesce(crc_fold(F.col("doc_id"), merkle.TAMPER) == 0, F.lit(False))
@@ -88,7 +93,7 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_quality, op3_winnowing, op4_mixing, op5_substring_dedup, op6_packing, op7_toxicity, op8_simhash,
-    op9_topk, op10_language_id, op13_merkle)}
+    op9_topk, op10_language_id, op11_conversation_trie, op13_merkle)}
 
 # unsigned CRC-32 of the decimal {id}, bit by bit (DuckDB has no function for it)
 _CRC = """xor(list_reduce(list_prepend(4294967295, list_transform(range(1, strlen(CAST({id} AS VARCHAR)) + 1),
@@ -97,6 +102,34 @@ _CRC = """xor(list_reduce(list_prepend(4294967295, list_transform(range(1, strle
           lambda x, z: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"""
 
 ORACLE_SQL = {
+    "op11_conversation_trie": rf"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 20 AS first, {_CRC.format(id="conv_id")} % 4 AS h FROM t GROUP BY conv_id),
+r AS (
+  SELECT c.conv_id, 0 AS part, t.k, t.role, t.text FROM c JOIN t ON t.conv_id = c.first AND t.k <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, t.k, t.role, t.text FROM c JOIN t ON t.conv_id = c.conv_id AND t.k > c.h),
+p AS (
+  SELECT conv_id, row_number() OVER w AS d, string_agg(sha256(strlen(role) || ':' || role || text), '') OVER w AS key,
+         len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY part, k)
+  UNION ALL SELECT conv_id, 0, '', 0 FROM c),
+size AS (SELECT conv_id, max(d) AS n FROM p GROUP BY conv_id),
+node AS (
+  SELECT p.d, p.key, min(p.conv_id) AS conv_id, count(*) AS n, any_value(words) AS words,
+         coalesce(string_agg(CASE WHEN size.n = p.d THEN CAST(p.conv_id AS VARCHAR) END, ',' ORDER BY p.conv_id), '') AS ends
+  FROM p JOIN size ON size.conv_id = p.conv_id GROUP BY p.d, p.key),
+kids AS (SELECT d - 1 AS d, left(key, 64 * (d - 1)) AS key, count(*) AS n FROM node WHERE d > 0 GROUP BY 1, 2),
+v AS (SELECT node.*, coalesce(kids.n, 0) AS n_children FROM node LEFT JOIN kids ON kids.key = node.key),
+below AS (
+  SELECT left(key, 64 * up) AS key, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n - 1) * words) AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS up FROM v) GROUP BY 1)
+SELECT v.conv_id, v.d AS depth, parent.conv_id AS parent_conv_id, v.n AS n_convs, v.n_children,
+       CAST(below.n_leaves AS BIGINT) AS n_leaves, CAST(below.saved AS BIGINT) AS saved_tokens, sha256(v.ends) AS ends_sha256
+FROM v JOIN below ON below.key = v.key LEFT JOIN v parent ON v.d > 0 AND parent.key = left(v.key, 64 * (v.d - 1))""",
     "op13_merkle": f"""
 WITH RECURSIVE d AS (
   SELECT doc_id, coalesce('=' || source, '') AS tree, text,
