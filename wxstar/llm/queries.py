@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wxstar.llm import (
-    conversation_trie, language_id, merkle, mixing, packing, quality, simhash, substring_dedup, topk, toxicity, url_filter, winnowing,
+    conversation_trie, language_id, merkle, mixing, packing, quality, secret_scan, simhash, substring_dedup, topk, toxicity, url_filter, winnowing,
 )
 from wxstar.llm.common import crc_fold, table, text_or_empty
 
@@ -79,6 +79,16 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.trie(conversation_trie.rebuilt(seqs, group=20, head=crc_fold(F.col("conv_id"), 4)))
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", of("assign"), of("access"), of("hex"),
+        F.sha2(secret_scan.as_text(base).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.as_text(F.col("spans")).alias("spans"), of("random"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     tampered = F.coalesce(crc_fold(F.col("doc_id"), merkle.TAMPER) == 0, F.lit(False))
@@ -93,7 +103,7 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_quality, op3_winnowing, op4_mixing, op5_substring_dedup, op6_packing, op7_toxicity, op8_simhash,
-    op9_topk, op10_language_id, op11_conversation_trie, op13_merkle)}
+    op9_topk, op10_language_id, op11_conversation_trie, op12_secret_scan, op13_merkle)}
 
 # unsigned CRC-32 of the decimal {id}, bit by bit (DuckDB has no function for it)
 _CRC = """xor(list_reduce(list_prepend(4294967295, list_transform(range(1, strlen(CAST({id} AS VARCHAR)) + 1),
