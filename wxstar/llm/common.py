@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,6 +62,35 @@ def with_row_ids(df: DataFrame, id_col: str = ID, out: str = "__rid") -> DataFra
         df.sort(F.col(id_col).asc_nulls_last()).withColumn(out, F.monotonically_increasing_id()), "rows")
 
 
+def by_bytes(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``most`` bytes, so that memory goes by bytes and not by rows; a larger row is a slice of its own."""
+    rows = max(1, batch.num_rows * most // max(batch.nbytes, 1))
+    at = 0
+    while at < batch.num_rows:
+        n = min(rows, batch.num_rows - at)
+        while n > 1 and batch.slice(at, n).nbytes > 2 * most:
+            n //= 2
+        yield batch.slice(at, n)
+        at += n
+
+
+def lean(run: Callable) -> Callable:
+    """``run`` for ``mapInArrow``, after which the worker hands the memory back that it no longer needs: workers live on
+    between tasks, beside those of other stages."""
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):  # not the C library that has it
+            pass
+
+    return wrapped
+
+
 MARK_BITS = 1 << 24
 
 
