@@ -148,8 +148,8 @@ def test_plan_covers_the_histogram(seed):
     rng = np.random.default_rng(seed)
     histogram = {int(n): int(c) for n, c in zip(rng.choice(np.arange(1, 65), 30, False), rng.integers(1, 4000, 30))} | {64: 5000}
     made, total = {}, sum(n * c for n, c in histogram.items())
-    uses = 0
-    for n, counts in packing.plan(histogram, 64, 60):
+    uses, found = 0, packing.plan(histogram, 64, 60)
+    for n, counts in found:
         assert sum(k * v for k, v in counts.items()) <= 64
         uses += n
         for k, v in counts.items():
@@ -166,6 +166,32 @@ def test_plan_covers_the_histogram(seed):
     assert -(-total // 64) <= uses <= bins
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_sequences_come_from_configurations(seed):
+    """Lengths like those of documents: few pieces a length, so the program's own uses are fractions."""
+    rng = np.random.default_rng(seed)
+    lengths = np.clip(rng.lognormal(6, 1, 1500).astype(int), 1, 2047)
+    found = packing.plan(dict(zip(*(x.tolist() for x in np.unique(lengths, return_counts=True)))), 2048)
+    total = found.solved + found.residual + found.fitted
+    assert found.bound <= total <= found.bound + 1 and found.fitted <= 3 and found.value > 0
+    assert sum(n for n, _ in found) == total
+
+
+def test_knapsack_within_counts():
+    value, counts = np.array([0, 0, 2.0, 3.5, 0, 0, 0, 0, 0]), np.array([0, 0, 2, 1, 0, 0, 0, 0, 0])
+    assert packing.knapsack(value, 8, counts).tolist() == [0, 0, 2, 1, 0, 0, 0, 0, 0]
+
+
+def test_long_texts_are_encoded_in_parts(monkeypatch):
+    monkeypatch.setattr(packing, "PART", 50)
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path()
+    for text in ("Some words, it's  fine\n" * 40, "Ünï 日本 cafe\u0301 a b " * 40, "x" * 500 + " end of it", "a <|endoftext|> b " * 30):
+        want = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+        assert packing.token_bytes(text, path) == np.array(want, "<u4").tobytes()
+
+
 def test_knapsack_against_all_multisets():
     value = np.array([0, 0, 3.0, 0, 0, 8.1, 0, 11.0])
     c = packing.knapsack(value, 12)
