@@ -74,19 +74,24 @@ def by_bytes(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
         at += n
 
 
+def release() -> None:
+    """Hands the memory back that the process no longer needs: Python workers live on between tasks, beside those of other
+    stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not the C library that has it
+        pass
+
+
 def lean(run: Callable) -> Callable:
-    """``run`` for ``mapInArrow``, after which the worker hands the memory back that it no longer needs: workers live on
-    between tasks, beside those of other stages."""
+    """``run`` for ``mapInArrow`` or an iterator UDF, with a :func:`release` at its end."""
 
     @functools.wraps(run)
-    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def wrapped(batches: Iterator) -> Iterator:
         yield from run(batches)
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except (OSError, AttributeError):  # not the C library that has it
-            pass
+        release()
 
     return wrapped
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wxstar.llm.common import materialize
+from wxstar.llm.common import lean, materialize
 from wxstar.llm.ranking import AT, PART, sorted_rows
 
 WIDTH = 16                  # bytes of a turn's digest
@@ -291,11 +291,11 @@ def trie(seqs: DataFrame, block_rows: int = ROWS) -> DataFrame:
         .repartition(PART).sortWithinPartitions(PART, "kind", AT)
         .select(PART, "kind", "conv_id", "key", "words")
     )
-    shares = materialize(dealt.mapInArrow(_blocks(block_rows), SHARES_DDL), "shares")
+    shares = materialize(dealt.mapInArrow(lean(_blocks(block_rows)), SHARES_DDL), "shares")
 
     pieces = shares.where("open")
     ends_of = pieces.where(F.col("ids") != "").select("node", "block", "ids").repartition("node").sortWithinPartitions(
-        "node", "block").mapInArrow(_hash_ids, "node binary, ends_sha256 string")
+        "node", "block").mapInArrow(lean(_hash_ids), "node binary, ends_sha256 string")
     merged = materialize(pieces.groupBy("node", "depth", "parent").agg(
         F.min("conv_id").alias("conv_id"), *[F.sum(c).alias(c) for c in ("n_convs", "n_children", "n_leaves", "saved_tokens")]
     ).join(ends_of, "node", "left").withColumn("ends_sha256", F.coalesce("ends_sha256", F.sha2(F.lit(b""), 256))), "open-nodes")

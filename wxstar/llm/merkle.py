@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from wxstar.llm.common import ID, TEXT, materialize
+from wxstar.llm.common import ID, TEXT, lean, materialize
 from wxstar.llm.ranking import RANK, TOTAL, ranked
 
 ARITY = 16
@@ -183,7 +183,7 @@ def append_log(leaves: DataFrame, name: str) -> DataFrame:
     current, most = log, leaves.agg(F.max("leaves")).first()[0] or 0
     for base in range(0, levels(most), SPAN):
         dealt = current.repartition("tree", "block").sortWithinPartitions("tree", "block", "index")
-        built = materialize(dealt.mapInArrow(_builder(base), NODES_DDL), f"{name}-{base}")
+        built = materialize(dealt.mapInArrow(lean(_builder(base)), NODES_DDL), f"{name}-{base}")
         log = log.unionByName(built)
         # those whose trees go on; the others' tops are roots
         current = built.where((F.col("level") == base + SPAN) & ~F.col("is_root")).withColumn("block", block)
@@ -297,7 +297,7 @@ def proofs(leaves: DataFrame, log: DataFrame, above: DataFrame | None = None) ->
         .repartition("tree", "block").sortWithinPartitions("tree", "block", "position")
     )
     out = stretch.select(*carried.columns, *of_head, "path").schema
-    return stretch.mapInArrow(_extract(to_arrow_schema(out), of_head), out)
+    return stretch.mapInArrow(lean(_extract(to_arrow_schema(out), of_head)), out)
 
 
 def fold(start: Column, path: Column) -> Column:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wxstar.llm.common import ID, materialize, text_or_empty
+from wxstar.llm.common import ID, lean, materialize, text_or_empty
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(
@@ -106,7 +106,7 @@ def text_model(docs: DataFrame) -> np.ndarray:
     """log P(next symbol | symbol) for symbols in runs, from the pairs of all texts (at most ``STATES`` ** 2 counts).
 
     The row ``OTHER`` is for a run's first symbol. Columns are renormalised to symbols, as a candidate is a run of them."""
-    counted = docs.select(text_or_empty()).mapInArrow(_count, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
+    counted = docs.select(text_or_empty()).mapInArrow(lean(_count), "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
     counts = np.zeros(STATES * STATES)
     for pair, n in counted.collect():
         counts[pair] = n
@@ -281,7 +281,7 @@ def scan(docs: DataFrame, id_col: str = ID) -> DataFrame:
     """(``id_col``, spans): all spans of every text as an array of (kind, start, end), by start and kind."""
     model = text_model(docs)
     scanned = materialize(docs.select(F.col(id_col), text_or_empty().alias("__text")).mapInArrow(
-        _scan(model), f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, found {FOUND}"), "spans")
+        lean(_scan(model)), f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, found {FOUND}"), "spans")
     least = threshold(scanned)
     kept = F.filter("found", lambda s: s["log_e"].isNull() | (F.floor(s["log_e"] / STEP) * STEP >= F.lit(least)))
     order = F.transform(kept, lambda s: F.struct(

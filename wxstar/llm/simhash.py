@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wxstar.llm.common import ID, TEXT, by_marks, marks, materialize, text_or_empty, with_row_ids
+from wxstar.llm.common import ID, TEXT, by_marks, lean, marks, materialize, release, text_or_empty, with_row_ids
 from wxstar.llm.components import connected_components
 
 SHINGLE, MAX_BITS, SEED = 3, 2, 42
@@ -69,7 +69,10 @@ def fingerprint_column(text: Column, shingle: int = SHINGLE) -> Column:
 
     @F.pandas_udf("bigint")
     def of(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64))
+        out = pd.Series(np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64))
+        del texts
+        release()
+        return out
 
     return of(text)
 
@@ -218,7 +221,7 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, most: int = GROU
     """(a, b): links between distinct fingerprints (column fp) that connect all within ``max_bits``."""
     groups = agreeing_groups(fps.select("fp").distinct(), max_bits + 1, most)
     dealt = groups.repartition("mask", "pattern").sortWithinPartitions("mask", "pattern")
-    return dealt.select("mask", "pattern", "fp").mapInArrow(_group_links(max_bits), "a bigint, b bigint")
+    return dealt.select("mask", "pattern", "fp").mapInArrow(lean(_group_links(max_bits)), "a bigint, b bigint")
 
 
 # --- documents --------------------------------------------------------------------------

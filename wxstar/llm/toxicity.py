@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wxstar.llm import features
+from wxstar.llm.common import release
 
 BITS = 17
 DIM = 8
@@ -117,6 +118,7 @@ def score(text: Column, model: SubwordModel) -> Column:
         for texts in batches:
             z = np.array([logit(model, t) for t in texts], float)
             yield pd.Series(1 / (1 + np.exp(-np.clip(z, -40, 40))))
+        release()
 
     return judge(text)
 
