@@ -100,7 +100,8 @@ def leaves_of(docs: DataFrame, **carried: Column) -> DataFrame:
     rows = docs.select(
         F.coalesce(F.concat(F.lit("="), source), F.lit("")).alias("tree"), F.col(ID).alias("id"),
         leaf(F.col(TEXT)).alias("digest"), *[c.alias(n) for n, c in carried.items()])
-    return _numbered(rows, ["id", "digest"], "leaves")
+    # digested before they are sorted: finding the ranges would read and hash every text once more
+    return _numbered(materialize(rows, "leaf-digests"), ["id", "digest"], "leaves")
 
 
 def _numbered(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
