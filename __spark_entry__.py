@@ -9,6 +9,7 @@ rules and the same semantics independently, in DuckDB SQL.
 from __future__ import annotations
 
 import os
+import re
 import sys
 from collections.abc import Callable
 
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from wxstar.operators import models, profiling, stations as st_ops, trends, validation
 from wxstar.operators.observations import element_units
-from wxstar.plans import files as file_plans
+from wxstar.plans import catalog_queries, files as file_plans
 from wxstar.plans.star import star_from_tables
 from wxstar.schemas import INVENTORY_LAYOUT, STATIONS_LAYOUT
 from wxstar.session import scratch_dir
@@ -271,6 +272,49 @@ def q_data_tests(spark, sf_dir):
     )
 
 
+def _planted(df: DataFrame, *plants: tuple[str, dict]) -> DataFrame:
+    """``df`` and, for each plant, its rows that meet a condition once more with some columns changed."""
+    out = df
+    for condition, changes in plants:
+        out = out.unionByName(df.filter(condition).withColumns(
+            {c: F.expr(v).cast(df.schema[c].dataType) for c, v in changes.items()}))
+    return out
+
+
+def q_data_tests_planted(spark, sf_dir):
+    """The 26 tests over tables with violations of every one of them, each test with a number of its own."""
+    scratch_dir(spark)
+    s = star_from_tables(spark, sf_dir)
+    raw_obs, stations = s.raw_obs_table.checkpoint(), s.stations.checkpoint()
+    fct = models.fct_daily_weather(models.stg_observations(raw_obs))
+    dim_st, dim_dt = models.dim_station(models.stg_stations(stations)), models.dim_date(fct)
+    return validation.run_data_tests(
+        _planted(stations, *PLANTED["stations"]), _planted(raw_obs, *PLANTED["wide"]), _planted(dim_dt, *PLANTED["dim_date"]),
+        _planted(dim_st, *PLANTED["dim_station"]), _planted(fct, *PLANTED["fct"]),
+        _planted(models.mart_yearly_climate(fct), *PLANTED["mart"]))
+
+
+# Violations by table: rows that meet a condition, once more with these columns changed. Conditions are SQL that both
+# engines read.
+PLANTED = {
+    "stations": [("true", {}), *[("true", {"id": "NULL"})] * 2],
+    "wide": [("month(date) = 1", {"id": "NULL"}), ("month(date) IN (2, 3)", {"date": "NULL"}),
+             ("day(date) = 7", {"id": "concat(id, 'x')"})],
+    "dim_date": [("day = 1", {}), ("day = 2 AND month < 7", {"date_day": "NULL"}), ("day < 12", {"year": "NULL", "date_day": "NULL"}),
+                 ("day < 20 AND month < 8", {"month": "NULL", "date_day": "NULL"}), ("day = 5 AND month < 4", {"day": "NULL", "date_day": "NULL"}),
+                 ("day = 6 AND month < 3", {"season": "concat('s', month)", "date_day": "NULL"})],
+    "dim_station": [("true", {}), *[("true", {"latitude": "NULL", "station_id": "NULL"})] * 3,
+                    *[("true", {"longitude": "NULL", "station_id": "NULL"})] * 4, *[("true", {"elevation_m": "NULL", "station_id": "NULL"})] * 5,
+                    *[("true", {"station_name": "NULL", "station_id": "NULL"})] * 6],
+    "fct": [("month(observation_date) = 4", {"station_id": "NULL"}), ("month(observation_date) IN (5, 6)", {"observation_date": "NULL"}),
+            ("day(observation_date) = 8", {"station_id": "concat(station_id, 'y')"}),
+            ("day(observation_date) IN (9, 10)", {"observation_date": "observation_date + INTERVAL 40 YEAR"}),
+            ("tmax_c IS NOT NULL AND day(observation_date) > 20", {"tmin_c": "tmax_c + 1"})],
+    "mart": [("observation_year > 1995", {"observation_year": "NULL"}), ("observation_year > 1996", {"station_count": "NULL"}),
+             ("observation_year > 1997", {"tmax_days": "NULL"}), ("observation_year > 1998", {"station_days": "NULL"})],
+}
+
+
 def q_reconcile_years(spark, sf_dir):
     """Mart counts against counts profiled directly from the clean long rows."""
     s = star_from_tables(spark, sf_dir)
@@ -326,9 +370,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "check_tmax_below_tmin": q_check_tmax_below_tmin,
     "calendar_gaps": q_calendar_gaps,
     "data_tests": q_data_tests,
+    "data_tests_planted": q_data_tests_planted,
     "reconcile_years": q_reconcile_years,
 }
 _QUERIES.update(file_plans.QUERIES)
+_QUERIES.update(catalog_queries.QUERIES)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -338,13 +384,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _llm():
-    """The training-data subpackage and its pipeline; None where they are not installed."""
+    """The training-data subpackage and its pipeline; None where they, or something they need, are not installed."""
     try:
         import corpus_pipeline
         import wxstar.llm.queries as llm_queries
-    except ModuleNotFoundError as e:
-        if e.name not in ("corpus_pipeline", "wxstar.llm", "wxstar.llm.queries"):
-            raise
+    except ImportError:
         return None
     return llm_queries, corpus_pipeline
 
@@ -744,10 +788,26 @@ SELECT coalesce(m.observation_year, p.observation_year) AS observation_year,
        m.station_days - p.station_days AS diff_station_days
 FROM mart m FULL OUTER JOIN prof p ON m.observation_year = p.observation_year""")
     o.update(file_plans.oracles(_with))
+    o.update(catalog_queries.oracles(_with))
+    o["star_join_bucketed"] = o["star_join"]
     o["star_data_tests"] = o["data_tests"]
+    o["data_tests_planted"] = _planted_sql(o["data_tests"])
     return o
 
 
+def _planted_sql(tests: str) -> str:
+    """The tests' SQL over the tables with ``PLANTED`` rows: each table is renamed and its planted form takes its name."""
+    planted = "".join(
+        f",\np_{table} AS (SELECT * FROM {table}" + "".join(
+            f"\n  UNION ALL SELECT * REPLACE ({', '.join(f'{v} AS {c}' for c, v in changes.items())}) FROM {table} WHERE {cond}"
+            if changes else f"\n  UNION ALL SELECT * FROM {table} WHERE {cond}" for cond, changes in plants) + ")"
+        for table, plants in PLANTED.items())
+    head, body = tests.split("\nSELECT * FROM (VALUES", 1)
+    for table in PLANTED:
+        body = re.sub(rf"\b(FROM|JOIN) {table}\b", rf"\1 p_{table}", body)
+    return f"{head}{planted}\nSELECT * FROM (VALUES{body}"
+
+
 def oracle_sql() -> dict[str, str]:
     out = _oracles()
     if llm := _llm():

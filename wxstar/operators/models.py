@@ -81,6 +81,11 @@ MART_MEASURES = [
 ]
 
 
+def tenths(column: str):
+    """Sum of values stored in tenths, as a whole number of tenths: exact in any order of summation."""
+    return F.sum(F.round(F.col(column) * 10).cast("bigint"))
+
+
 def exact_mean(column: str, units: int, digits: int):
     """Mean of values stored at a precision of ``1/units`` (tenths: 10), computed from
     their exact integer sum and rounded half away from zero to ``digits`` decimals; null
@@ -132,7 +137,8 @@ def star_climate_by_province_season(
     ``dim_date`` holds at most one row per calendar day, so broadcasting it is safe at any
     fact size. The fact is then pre-aggregated to (station, season) before it meets
     ``dim_station``, so that join sees a few rows per station whatever the fact size and
-    Spark may broadcast or shuffle the station side as its statistics dictate.
+    Spark may broadcast or shuffle the station side as its statistics dictate; with both tables bucketed
+    by station (``sinks.write_bucketed``) neither is exchanged. Sums are taken in whole tenths.
     """
     per_station = (
         fct.join(F.broadcast(dim_dt.select("date_day", "season")),
@@ -140,9 +146,9 @@ def star_climate_by_province_season(
         .groupBy("station_id", "season")
         .agg(
             F.count("*").alias("n"),
-            F.sum("tmax_c").alias("s_tmax"),
+            tenths("tmax_c").alias("s_tmax"),
             F.count("tmax_c").alias("n_tmax"),
-            F.sum("prcp_mm").alias("s_prcp"),
+            tenths("prcp_mm").alias("s_prcp"),
             F.count("prcp_mm").alias("n_prcp"),
         )
     )
@@ -153,9 +159,9 @@ def star_climate_by_province_season(
             F.countDistinct("station_id").alias("stations"),
             F.sum("n").alias("station_days"),
             F.sum("n_tmax").alias("tmax_days"),
-            F.sum("s_tmax").alias("sum_tmax_c"),
+            (F.sum("s_tmax") / 10).alias("sum_tmax_c"),
             F.sum("n_prcp").alias("prcp_days"),
-            F.sum("s_prcp").alias("sum_prcp_mm"),
+            (F.sum("s_prcp") / 10).alias("sum_prcp_mm"),
         )
         .withColumns({
             "avg_tmax_c": F.try_divide(F.col("sum_tmax_c"), F.col("tmax_days")),

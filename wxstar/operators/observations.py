@@ -134,7 +134,7 @@ def element_units(
     """
     cols = [element_column(e) for e in elements]
     agg = station_days.agg(
-        *[x for c in cols for x in (F.count(c).alias(f"n_{c}"), F.sum(F.col(c).cast("double")).alias(f"s_{c}"))]
+        *[x for c in cols for x in (F.count(c).alias(f"n_{c}"), F.sum(F.round(F.col(c) * 10).cast("bigint")).alias(f"s_{c}"))]
     )
     return agg.select(
         F.inline(
@@ -143,7 +143,7 @@ def element_units(
                     F.struct(
                         F.lit(c).alias("element"), F.lit(scale.get(e, 1)).alias("divisor"),
                         F.col(f"n_{c}").alias("cells"),
-                        F.round(F.coalesce(F.col(f"s_{c}"), F.lit(0.0)) * 10).cast("bigint").alias("value_tenths"),
+                        F.coalesce(F.col(f"s_{c}"), F.lit(0)).cast("bigint").alias("value_tenths"),
                     )
                     for e, c in zip(elements, cols)
                 ]

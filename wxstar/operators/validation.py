@@ -72,48 +72,37 @@ def calendar_gaps(df: DataFrame, date_col: str = "observation_date") -> DataFram
 
 
 # --- the 26 declared tests ---------------------------------------------------
-
-
-def _as_rows(agg: DataFrame, tests: list[tuple[str, str, str]]) -> DataFrame:
-    """One-row aggregate with a column per test name -> one row per test."""
-    return agg.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(name).alias("test_name"), F.lit(model).alias("model"),
-                        F.lit(column).alias("column_name"),
-                        F.coalesce(F.col(name).cast("long"), F.lit(0).cast("long")).alias("failures"),
-                    )
-                    for name, model, column in tests
-                ]
-            )
-        )
-    )
-
-
-def _key_counts(df: DataFrame, key: str, **flags: Column) -> DataFrame:
-    """Rows per key value (null included) plus per-key counts of flagged rows: one
-    shuffle of partially aggregated rows, however hot a key is."""
-    return df.groupBy(F.col(key).alias("k")).agg(
-        F.count("*").alias("n"), *[F.count_if(c).alias(f) for f, c in flags.items()]
-    )
-
-
-def _null_rows():
-    return F.sum(F.when(F.col("k").isNull(), F.col("n")))
-
-
-def _dup_keys():
-    return F.count_if(F.col("k").isNotNull() & (F.col("n") > 1))
-
-
-def _orphan_rows(keys: DataFrame, parent: DataFrame, parent_column: str, name: str) -> DataFrame:
-    """Child rows without a parent, counted from the child's distinct keys: only keys are
-    anti-joined, and their row counts are summed."""
-    p = parent.select(F.col(parent_column).alias("__parent_key"))
-    orphans = keys.filter(F.col("k").isNotNull()).join(p, F.col("k") == F.col("__parent_key"), "left_anti")
-    return orphans.agg(F.sum("n").alias(name))
+#
+# Every test is a question about (set, key) groups: how often a key occurs in a set of keys as a child and as a
+# parent, or whether a marker of a violating row occurs at all. So each table is read once, each row gives its keys and
+# its markers, and one grouping over all sets at once answers every test of every table.
+
+_ROW_TESTS = [  # not_null of columns that are no keys, by table
+    ("raw_observations", "date"), ("dim_date", "year"), ("dim_date", "month"), ("dim_date", "day"),
+    ("dim_station", "latitude"), ("dim_station", "longitude"), ("dim_station", "elevation_m"), ("dim_station", "station_name"),
+    ("mart_yearly_climate", "observation_year"), ("mart_yearly_climate", "station_count"),
+    ("mart_yearly_climate", "tmax_days"), ("mart_yearly_climate", "station_days")]
+_KEYS = [  # (table, column, set of keys, whether the table is the parent side)
+    ("raw_stations", "id", "raw station", True), ("raw_observations", "id", "raw station", False),
+    ("dim_station", "station_id", "station", True), ("fct_daily_weather", "station_id", "station", False),
+    ("dim_date", "date_day", "day", True), ("fct_daily_weather", "observation_date", "day", False)]
+_TMAX_TEST = "assert_tmax_not_below_tmin"
+_SEASON_TEST = "accepted_values_dim_date_season"
+
+
+def _entries(name: str, df: DataFrame) -> DataFrame:
+    """(set, key, side) for each key and each violated row test of a table; sides are p(arent), c(hild) and v(iolation)."""
+    entry = lambda group, key, side: F.struct(
+        F.lit(group).alias("set"), key.cast("string").alias("key"), F.lit(side).alias("side"))
+    when = lambda bad, test: F.when(bad, entry(test, F.lit(None), "v"))
+    found = [entry(group, F.col(column), "p" if parent else "c") for table, column, group, parent in _KEYS if table == name]
+    found += [when(F.col(column).isNull(), f"not_null_{name}_{column}") for table, column in _ROW_TESTS if table == name]
+    if name == "fct_daily_weather":
+        found.append(when(F.col("tmax_c") < F.col("tmin_c"), _TMAX_TEST))
+    if name == "dim_date":
+        unknown = F.col("season").isNotNull() & ~F.col("season").isin(list(SEASONS))
+        found.append(F.when(unknown, entry(_SEASON_TEST, F.col("season"), "v")))
+    return df.select(F.inline(F.array_compact(F.array(*found))))
 
 
 def run_data_tests(
@@ -124,92 +113,33 @@ def run_data_tests(
 
     Failures count null rows (not_null), duplicated key values (unique), orphan child rows
     (relationships), unaccepted distinct values (accepted_values) and violating rows
-    (tmax below tmin). Each table is aggregated once per key column: a ``groupBy(key)``
-    with counts answers not_null, unique and row-level checks together, and relationships
-    anti-join only the distinct keys. The fact is read twice (by station, by date).
+    (tmax below tmin). Each table is scanned once; one exchange, of rows counted per task by (set, key), serves all
+    26 tests, so a hot key costs one record a task and a child never meets its parent row by row.
     """
-    isnull = lambda c: F.col(c).isNull()
-    parts = []
-
-    st = _key_counts(raw_stations, "id")
-    parts.append(_as_rows(
-        st.agg(_null_rows().alias("not_null_raw_stations_id"), _dup_keys().alias("unique_raw_stations_id")),
-        [("not_null_raw_stations_id", "raw_stations", "id"), ("unique_raw_stations_id", "raw_stations", "id")],
-    ))
-
-    ob = _key_counts(raw_observations, "id", nd=isnull("date"))
-    parts.append(_as_rows(
-        ob.agg(_null_rows().alias("not_null_raw_observations_id"), F.sum("nd").alias("not_null_raw_observations_date")),
-        [("not_null_raw_observations_id", "raw_observations", "id"),
-         ("not_null_raw_observations_date", "raw_observations", "date")],
-    ))
-    parts.append(_as_rows(
-        _orphan_rows(ob, raw_stations, "id", "relationships_raw_observations_id"),
-        [("relationships_raw_observations_id", "raw_observations", "id")],
-    ))
-
-    dd = _key_counts(dim_date, "date_day", y=isnull("year"), m=isnull("month"), d=isnull("day"))
-    parts.append(_as_rows(
-        dd.agg(
-            _dup_keys().alias("unique_dim_date_date_day"), _null_rows().alias("not_null_dim_date_date_day"),
-            F.sum("y").alias("not_null_dim_date_year"), F.sum("m").alias("not_null_dim_date_month"),
-            F.sum("d").alias("not_null_dim_date_day"),
-        ),
-        [("unique_dim_date_date_day", "dim_date", "date_day"), ("not_null_dim_date_date_day", "dim_date", "date_day"),
-         ("not_null_dim_date_year", "dim_date", "year"), ("not_null_dim_date_month", "dim_date", "month"),
-         ("not_null_dim_date_day", "dim_date", "day")],
-    ))
-    parts.append(_as_rows(
-        check_accepted_values(dim_date, "season").agg(F.count("*").alias("accepted_values_dim_date_season")),
-        [("accepted_values_dim_date_season", "dim_date", "season")],
-    ))
-
-    ds = _key_counts(dim_station, "station_id", la=isnull("latitude"), lo=isnull("longitude"),
-                     el=isnull("elevation_m"), nm=isnull("station_name"))
-    parts.append(_as_rows(
-        ds.agg(
-            _dup_keys().alias("unique_dim_station_station_id"), _null_rows().alias("not_null_dim_station_station_id"),
-            F.sum("la").alias("not_null_dim_station_latitude"), F.sum("lo").alias("not_null_dim_station_longitude"),
-            F.sum("el").alias("not_null_dim_station_elevation_m"), F.sum("nm").alias("not_null_dim_station_station_name"),
-        ),
-        [("unique_dim_station_station_id", "dim_station", "station_id"),
-         ("not_null_dim_station_station_id", "dim_station", "station_id"),
-         ("not_null_dim_station_latitude", "dim_station", "latitude"),
-         ("not_null_dim_station_longitude", "dim_station", "longitude"),
-         ("not_null_dim_station_elevation_m", "dim_station", "elevation_m"),
-         ("not_null_dim_station_station_name", "dim_station", "station_name")],
-    ))
-
-    fs = _key_counts(fct, "station_id", bad=F.col("tmax_c") < F.col("tmin_c"))
-    fd = _key_counts(fct, "observation_date")
-    parts.append(_as_rows(
-        fs.agg(_null_rows().alias("not_null_fct_daily_weather_station_id"), F.sum("bad").alias("assert_tmax_not_below_tmin")),
-        [("not_null_fct_daily_weather_station_id", "fct_daily_weather", "station_id"),
-         ("assert_tmax_not_below_tmin", "fct_daily_weather", "tmax_c")],
-    ))
-    parts.append(_as_rows(
-        fd.agg(_null_rows().alias("not_null_fct_daily_weather_observation_date")),
-        [("not_null_fct_daily_weather_observation_date", "fct_daily_weather", "observation_date")],
-    ))
-    parts.append(_as_rows(
-        _orphan_rows(fs, dim_station, "station_id", "relationships_fct_daily_weather_station_id"),
-        [("relationships_fct_daily_weather_station_id", "fct_daily_weather", "station_id")],
-    ))
-    parts.append(_as_rows(
-        _orphan_rows(fd, dim_date, "date_day", "relationships_fct_daily_weather_observation_date"),
-        [("relationships_fct_daily_weather_observation_date", "fct_daily_weather", "observation_date")],
-    ))
-
-    mart_cols = ["observation_year", "station_count", "tmax_days", "station_days"]
-    parts.append(_as_rows(
-        mart.agg(*[F.count_if(isnull(c)).alias(f"not_null_mart_yearly_climate_{c}") for c in mart_cols]),
-        [(f"not_null_mart_yearly_climate_{c}", "mart_yearly_climate", c) for c in mart_cols],
-    ))
-
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    tables = {"raw_stations": raw_stations, "raw_observations": raw_observations, "dim_date": dim_date,
+              "dim_station": dim_station, "fct_daily_weather": fct, "mart_yearly_climate": mart}
+    entries = None
+    for name, df in tables.items():
+        entries = _entries(name, df) if entries is None else entries.unionByName(_entries(name, df))
+    keys = entries.groupBy("set", "key").agg(*(F.count_if(F.col("side") == side).alias(side) for side in "pcv"))
+
+    of = lambda group, x: F.coalesce(F.sum(F.when(F.col("set") == group, x)), F.lit(0)).cast("bigint")
+    known = F.col("key").isNotNull()
+    tests = []
+    for table, column, group, parent in _KEYS:
+        side = "p" if parent else "c"
+        tests.append((f"not_null_{table}_{column}", table, column, of(group, F.when(~known, F.col(side)))))
+        if parent:
+            tests.append((f"unique_{table}_{column}", table, column, of(group, (known & (F.col("p") > 1)).cast("int"))))
+        else:
+            tests.append((f"relationships_{table}_{column}", table, column, of(group, F.when(known & (F.col("p") == 0), F.col("c")))))
+    tests += [(f"not_null_{table}_{column}", table, column, of(f"not_null_{table}_{column}", F.col("v"))) for table, column in _ROW_TESTS]
+    tests.append((_TMAX_TEST, "fct_daily_weather", "tmax_c", of(_TMAX_TEST, F.col("v"))))
+    tests.append((_SEASON_TEST, "dim_date", "season", of(_SEASON_TEST, F.lit(1))))
+    counted = keys.agg(*(failures.alias(name) for name, _, _, failures in tests))
+    return counted.select(F.inline(F.array(*(
+        F.struct(F.lit(name).alias("test_name"), F.lit(model).alias("model"), F.lit(column).alias("column_name"),
+                 F.col(name).alias("failures")) for name, model, column, _ in tests))))
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -263,3 +193,39 @@ def rerun_diff(old: DataFrame, new: DataFrame) -> DataFrame:
         F.when(F.col("__d") > 0, F.lit("old_only")).otherwise(F.lit("new_only")).alias("side"),
         F.abs("__d").alias("copies"),
     )
+
+
+# --- reruns, partition by partition ---------------------------------------------
+
+
+def partition_checksums(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Per partition its rows and two order-free checksums of their values (a repeated row counts each time): one
+    scan, partial sums, a row a partition."""
+    values = [F.col(c) for c in df.columns]
+    total = lambda salt: F.sum(F.xxhash64(F.lit(salt), *values).cast("decimal(38,0)"))
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), total(0).alias("a"), total(1).alias("b"))
+
+
+def differing_partitions(old: DataFrame, new: DataFrame, by: Sequence[str]) -> list[tuple]:
+    """The partitions whose rows or checksums differ, or that one side lacks: at most as many as there are partitions."""
+    theirs = partition_checksums(new.select(*old.columns), by).select(*by, F.col("n").alias("n2"), F.col("a").alias("a2"), F.col("b").alias("b2"))
+    ours = partition_checksums(old, by)
+    same = F.lit(True)
+    for c in by:
+        same = same & ours[c].eqNullSafe(theirs[c])
+    joined = ours.join(theirs, same, "full_outer")
+    differs = ~(F.col("n").eqNullSafe(F.col("n2")) & F.col("a").eqNullSafe(F.col("a2")) & F.col("b").eqNullSafe(F.col("b2")))
+    return [tuple(r) for r in joined.filter(differs).select(*(F.coalesce(ours[c], theirs[c]).alias(c) for c in by)).collect()]
+
+
+def rerun_diff_by_partition(old: DataFrame, new: DataFrame, by: Sequence[str]) -> DataFrame:
+    """:func:`rerun_diff` of partitioned tables: only partitions whose checksums differ are read again and shuffled row by
+    row (the filter on ``by`` prunes the others); equal ones cost a scan. ``by`` are the partition columns, never many values."""
+    differing = differing_partitions(old, new, by)
+    within = F.lit(False)
+    for values in differing:
+        one = F.lit(True)
+        for c, v in zip(by, values):
+            one = one & (F.col(c) == F.lit(v) if v is not None else F.col(c).isNull())
+        within = within | one
+    return rerun_diff(old.filter(within), new.select(*old.columns).filter(within))

@@ -8,8 +8,10 @@ as in local tests), runs the job, and returns what it reads back.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 import uuid
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,7 +85,7 @@ def q_year_replace(spark, sf_dir):
 
 def q_atomic_replace(spark, sf_dir):
     """All stations, then those with a WMO id, then a load whose count is wrong: the second
-    load must be serving."""
+    load must be serving, in any session."""
     root = scratch_dir(spark, "atomic")
     stations = star_from_tables(spark, sf_dir).stations
     with_wmo = stations.filter(F.col("wmo_id").isNotNull())
@@ -93,7 +95,7 @@ def q_atomic_replace(spark, sf_dir):
     try:
         sinks.atomic_replace(spark, stations, root, name, schema=RAW_STATIONS_SCHEMA, expected_rows=-1)
     except ValueError:
-        return spark.table(name)
+        return spark.newSession().table(name)
     raise AssertionError("a load with a wrong count was switched")
 
 
@@ -163,26 +165,46 @@ def q_run_metrics(spark, sf_dir):
     return jobs.run_metrics(spark, clean, quarantine)
 
 
-def _yearly_files(spark, raw: DataFrame) -> str:
-    """``raw`` as a source of yearly files: ``{prefix}/{year}.csv.gz``, one file a year (the
-    layout that the jobs read), rows in source order."""
+def _yearly_files(spark, raw: DataFrame, parts: int = LANDING_FILES) -> str:
+    """``raw`` as a source of yearly files, ``{prefix}/{year}-{part}.csv.gz`` (the layout that the jobs read): rows in source
+    order over the parts, which are ranges of it, so no task writes a whole year."""
     stage, prefix = scratch_dir(spark, "by-year-parts"), scratch_dir(spark, "by-year")
     (
         raw.withColumn("file_year", F.substring("date", 1, 4).cast("int"))
-        .repartition("file_year").sortWithinPartitions("file_year", "src_order")
+        .repartitionByRange(parts, "file_year", "src_order").sortWithinPartitions("file_year", "src_order")
         .select(*OBSERVATION_COLUMNS, "file_year")
         .write.partitionBy("file_year").option("compression", "gzip").csv(stage)
     )
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(stage).getFileSystem(spark._jsc.hadoopConfiguration())
     fs.mkdirs(path(prefix))
-    for part in fs.globStatus(path(f"{stage}/file_year=*/part-*")):  # one per calendar year
-        year = part.getPath().getParent().getName().split("=")[1]
-        if not fs.rename(part.getPath(), path(f"{prefix}/{year}.csv.gz")):
-            raise OSError(f"could not place the file of {year}")
+    for part in fs.globStatus(path(f"{stage}/file_year=*/part-*")):  # at most one per part and calendar year
+        year, number = part.getPath().getParent().getName().split("=")[1], part.getPath().getName().split("-")[1]
+        if not fs.rename(part.getPath(), path(f"{prefix}/{year}-{number}.csv.gz")):
+            raise OSError(f"could not place a part of {year}")
     return prefix
 
 
+def q_file_year_coverage(spark, sf_dir):
+    """One scan over all yearly files, the year taken from each file's name -> coverage by year."""
+    raw = read_observations(spark, f"{_yearly_files(spark, _raw(spark, sf_dir))}/*.csv.gz", with_file_year=True)
+    return profiling.coverage_by_year(raw, year_col="file_year")
+
+
+def q_file_year_missing(spark, sf_dir):
+    """The same scan where one file's name has no year: it fails, and tells the file; without the year all rows are there."""
+    prefix = _yearly_files(spark, _raw(spark, sf_dir))
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(prefix).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.rename(fs.globStatus(path(f"{prefix}/*.csv.gz"))[0].getPath(), path(f"{prefix}/yearless.csv.gz"))
+    try:
+        read_observations(spark, prefix, with_file_year=True).agg(F.max("file_year")).collect()
+    except PySparkException as e:
+        told = re.search(r"cannot infer year from file name: [\w.]+", str(e)).group()
+        return read_observations(spark, prefix).agg(F.count("*").alias("rows")).withColumn("error", F.lit(told))
+    raise AssertionError("a file without a year was read")
+
+
 def _without_month(raw: DataFrame) -> DataFrame:
     return raw.filter(~F.coalesce(F.col("date").startswith(f"{REPLACE_YEAR}{DROPPED_MONTH}"), F.lit(False)))
 
@@ -241,18 +263,27 @@ def q_duplicate_cells_multi_file(spark, sf_dir):
     return read_station_days(spark, clean)
 
 
-def q_rerun_diff(spark, sf_dir):
+def _two_runs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Station-days of two runs, written and read back: the second lacks February 1998 and
     reads TMAX one degree higher in January 1997."""
     sd = star_from_tables(spark, sf_dir).station_days
     month = lambda y, m: (F.col("year") == y) & (F.col("month") == m)
     changed = sd.filter(~month(REPLACE_YEAR, DROPPED_MONTH)).withColumn(
         "tmax", F.when(month(REPLACE_YEAR - 1, "01"), F.col("tmax") + 1).otherwise(F.col("tmax")))
-    old, new = (read_station_days(spark, sinks.write_station_days(df, scratch_dir(spark, "rerun")))
-                for df in (sd, changed))
+    return tuple(read_station_days(spark, sinks.write_station_days(df, scratch_dir(spark, "rerun"))) for df in (sd, changed))
+
+
+def q_rerun_diff(spark, sf_dir):
+    old, new = _two_runs(spark, sf_dir)
     return validation.rerun_diff(old, new)
 
 
+def q_rerun_diff_by_partition(spark, sf_dir):
+    """The same two runs compared partition by partition."""
+    old, new = _two_runs(spark, sf_dir)
+    return validation.rerun_diff_by_partition(old, new, ["year", "month"])
+
+
 def q_reconcile_extract(spark, sf_dir):
     """The mart against a published yearly extract (headed CSV) that counts one station too
     many in 1998."""
@@ -276,12 +307,12 @@ def q_stations_build(spark, sf_dir):
     return jobs.build_stations(spark, _stations_file(spark, sf_dir), out)
 
 
-def _built_star(spark, sf_dir):
+def _built_star(spark, sf_dir, target="dev"):
     root = scratch_dir(spark, "star")
     clean, _ = jobs.ingest(_raw(spark, sf_dir), root, order_key="src_order")
     stations = f"{root}/processed/stations.parquet"
     jobs.build_stations(spark, _stations_file(spark, sf_dir), stations)
-    return jobs.build_star_schema(spark, clean, stations, f"{root}/warehouse")
+    return jobs.build_star_schema(spark, clean, stations, f"{root}/warehouse", target)
 
 
 def q_star_schema_counts(spark, sf_dir):
@@ -340,6 +371,8 @@ QUERIES = {
     "stream_ingest": q_stream_ingest,
     "stream_values": q_stream_values,
     "load_together": q_load_together,
+    "file_year_coverage": q_file_year_coverage,
+    "file_year_missing": q_file_year_missing,
     "job_ingest_year": q_job_ingest_year,
     "job_rolling_refresh": q_job_rolling_refresh,
     "backfill_subrange": q_backfill_subrange,
@@ -347,6 +380,7 @@ QUERIES = {
     "run_metrics_of_run": q_run_metrics_of_run,
     "duplicate_cells_multi_file": q_duplicate_cells_multi_file,
     "rerun_diff": q_rerun_diff,
+    "rerun_diff_by_partition": q_rerun_diff_by_partition,
     "reconcile_extract": q_reconcile_extract,
 }
 
@@ -363,6 +397,9 @@ SELECT file_year AS year, count(*) AS total_rows, count(*) FILTER (WHERE starts_
        count(DISTINCT id) FILTER (WHERE starts_with(id, 'CA') AND element = 'TAVG') AS tavg_stations,
        round(count(*) FILTER (WHERE starts_with(id, 'CA')) * 100.0 / count(*), 2) AS ca_pct
 FROM y GROUP BY file_year""")
+    o["file_year_coverage"] = o["csv_roundtrip"]
+    o["file_year_missing"] = w(
+        "raw", "SELECT count(*) AS rows, 'cannot infer year from file name: yearless.csv.gz' AS error FROM raw")
     o["parquet_partition_roundtrip"] = w("wide", "SELECT * FROM wide")
     o["partition_pruned_months"] = w(
         "wide", f"SELECT month, count(*) AS count FROM wide WHERE year = {REPLACE_YEAR} GROUP BY month")
@@ -396,6 +433,7 @@ WHERE (year = {REPLACE_YEAR} AND month = '{DROPPED_MONTH}')
 UNION ALL
 SELECT * REPLACE (tmax + 1 AS tmax), 'new_only', 1 FROM wide
 WHERE year = {REPLACE_YEAR - 1} AND month = '01' AND tmax IS NOT NULL""")
+    o["rerun_diff_by_partition"] = o["rerun_diff"]
     o["reconcile_extract"] = w("mart", f"""
 , x AS (SELECT observation_year, station_count + CASE WHEN observation_year = {REPLACE_YEAR} THEN 1 ELSE 0 END AS station_count,
                avg_tmax_c FROM mart WHERE avg_tmax_c IS NOT NULL)

@@ -22,18 +22,21 @@ from wxstar.schemas import (
     RAW_STATIONS_SCHEMA,
     STATIONS_LAYOUT,
 )
+from wxstar.sinks.catalog import create_namespace, new_version, staging_view
 from wxstar.sinks.parquet import (
     conform,
     load_together,
     materialize,
     replace_undated,
     replace_years,
+    table_name,
     undated_name,
     write_bucketed_fact,
     write_partitioned,
     write_stations,
 )
 from wxstar.sources.files import (
+    YEAR_PARTS,
     read_observations,
     read_quarantine,
     read_station_days,
@@ -87,20 +90,25 @@ def ingest(
             write_partitioned(transform_observations(clean.drop("__file_year"), order_key, elements), clean_path)
         else:
             years = touched_years(prepared) if years == "from_data" else sorted(set(years))
-            inside = F.coalesce(F.col("year").isin(years), F.lit(False))
-            outside = clean.filter(~inside).withColumn("reason", F.lit("out_of_window"))
-            in_file = F.when(F.col("__file_year").isin(years), F.col("__file_year"))
-            rejected = rejected.unionByName(outside).withColumn(
-                "year", F.when(inside, F.col("year")).otherwise(in_file)).drop("__file_year")
+            clean, rejected = within(clean, rejected, years)
             replace_years(rejected, quarantine_path, years)
             replace_undated(rejected, undated_path(out_root), years, undated_key)
-            clean = clean.filter(inside).drop("__file_year")
             replace_years(transform_observations(clean, order_key, elements), clean_path, years)
     finally:
         prepared.unpersist()
     return clean_path, quarantine_path
 
 
+def within(clean: DataFrame, rejected: DataFrame, years: list[int]) -> tuple[DataFrame, DataFrame]:
+    """The clean rows of ``years``, and all that a run over these years rejects: good rows of other years too, as
+    ``out_of_window``; a row whose date names none of them is of its file's year, or else of none."""
+    inside = F.coalesce(F.col("year").isin(years), F.lit(False))
+    outside = clean.filter(~inside).withColumn("reason", F.lit("out_of_window"))
+    in_file = F.when(F.col("__file_year").isin(years), F.col("__file_year"))
+    rejected = rejected.unionByName(outside).withColumn("year", F.when(inside, F.col("year")).otherwise(in_file))
+    return clean.filter(inside).drop("__file_year"), rejected.drop("__file_year")
+
+
 def touched_years(prepared: DataFrame) -> list[int]:
     """The years of valid dates and, for rows without one, of their files: at most one value per
     calendar year, however dirty the date text is."""
@@ -109,16 +117,16 @@ def touched_years(prepared: DataFrame) -> list[int]:
 
 
 def ingest_year(spark: SparkSession, source_prefix: str, out_root: str, year: int) -> tuple[str, str]:
-    """The one-year job: ``{source_prefix}/{year}.csv.gz`` -> that year's partitions."""
-    raw = with_source_year(read_observations(spark, year_paths(source_prefix, [year]), with_position=True))
+    """The one-year job: ``{source_prefix}/{year}.csv.gz`` (or its parts) -> that year's partitions."""
+    raw = with_source_year(read_observations(spark, year_paths(source_prefix, [year], YEAR_PARTS), with_position=True))
     return ingest(raw, out_root, years=[year])
 
 
 def backfill(spark: SparkSession, source_prefix: str, out_root: str, first: int, last: int) -> tuple[str, str]:
-    """All years in one job: one scan over every yearly file (one task per ``.gz``), one
+    """All years in one job: one scan over every yearly file (one task per ``.gz``; see ``lake.land`` for hot years), one
     shuffle for the pivot. Replaces exactly the years ``first`` to ``last``; others stay."""
     raw = with_source_year(
-        read_observations(spark, year_paths(source_prefix, range(first, last + 1)), with_position=True))
+        read_observations(spark, year_paths(source_prefix, range(first, last + 1), YEAR_PARTS), with_position=True))
     return ingest(raw, out_root, years=range(first, last + 1))
 
 
@@ -132,7 +140,7 @@ def rolling_refresh(
 ) -> tuple[str, str]:
     """Daily refresh: re-ingest the last ``years`` years and replace exactly those."""
     window = refresh_window(as_of, years)
-    raw = with_source_year(read_observations(spark, year_paths(source_prefix, window), with_position=True))
+    raw = with_source_year(read_observations(spark, year_paths(source_prefix, window, YEAR_PARTS), with_position=True))
     return ingest(raw, out_root, years=window)
 
 
@@ -188,31 +196,28 @@ def build_star_schema(
 ) -> dict[str, DataFrame]:
     """both raw tables loaded together -> staging (views) -> dimensions, fact, mart (tables) + the test suite.
 
-    With ``buckets`` the fact is stored bucketed by station and sorted by date (a catalog
-    table at ``{out_root}/<marts>/fct_daily_weather``), so station-keyed work on it, such
-    as the mart's distinct station count, skips the exchange on the station key.
+    All are entries of the namespaces that ``target`` names, seen by every session; a table is switched
+    to its new version only after it is written. With ``buckets`` the fact is stored bucketed by station and sorted by date, so station-keyed
+    work on it, such as the mart's distinct station count, skips the exchange on the station key.
     Returns the materialised models by name, plus ``data_tests``.
     """
-    from wxstar.sinks.parquet import table_name
-
-    stg, mart_ns = table_name("staging", target), table_name("marts", target)
+    stg, mart_ns, raw_ns = (create_namespace(spark, table_name(layer, target)) for layer in ("staging", "marts", "raw"))
     root = out_root.rstrip("/")
-    raw = load_raw_tables(spark, observations_path, stations_path, f"{root}/{table_name('raw', target)}")
+    raw = load_raw_tables(spark, observations_path, stations_path, f"{root}/{raw_ns}")
     raw_obs, raw_st = raw["raw_observations"], raw["raw_stations"]
-    stg_obs = materialize(spark, models.stg_observations(raw_obs), f"{stg}__stg_observations", "view")
-    stg_st = materialize(spark, models.stg_stations(raw_st), f"{stg}__stg_stations", "view")
-    fct_name, fct_path = f"{mart_ns}__fct_daily_weather", f"{root}/{mart_ns}/fct_daily_weather"
+    for name, df in raw.items():  # the versions just switched, by name for every session
+        spark.sql(f"CREATE OR REPLACE VIEW `{raw_ns}`.`{name}` AS SELECT * FROM parquet.`{df.inputFiles()[0].rsplit('/', 1)[0]}`")
+    stg_obs = staging_view(spark, f"{stg}.stg_observations", f"{raw_ns}.raw_observations", models.OBSERVATION_RENAMES)
+    stg_st = staging_view(spark, f"{stg}.stg_stations", f"{raw_ns}.raw_stations", models.STATION_RENAMES)
+    fct_name = f"{mart_ns}.fct_daily_weather"
     if buckets:
-        spark.catalog.dropTempView(fct_name)  # a temp view of that name would shadow the table
-        write_bucketed_fact(models.fct_daily_weather(stg_obs), fct_name, buckets, path=fct_path)
+        write_bucketed_fact(models.fct_daily_weather(stg_obs), fct_name, buckets, path=f"{new_version(f'{root}/{mart_ns}')}/fct_daily_weather")
         fct = spark.table(fct_name)
     else:
-        fct = materialize(spark, models.fct_daily_weather(stg_obs), fct_name, "table", fct_path)
-    dim_st = materialize(spark, models.dim_station(stg_st), f"{mart_ns}__dim_station", "table",
-                         f"{root}/{mart_ns}/dim_station")
-    dim_dt = materialize(spark, models.dim_date(fct), f"{mart_ns}__dim_date", "table", f"{root}/{mart_ns}/dim_date")
-    mart = materialize(spark, models.mart_yearly_climate(fct), f"{mart_ns}__mart_yearly_climate", "table",
-                       f"{root}/{mart_ns}/mart_yearly_climate")
+        fct = materialize(spark, models.fct_daily_weather(stg_obs), fct_name, "table", f"{root}/{mart_ns}")
+    dim_st = materialize(spark, models.dim_station(stg_st), f"{mart_ns}.dim_station", "table", f"{root}/{mart_ns}")
+    dim_dt = materialize(spark, models.dim_date(fct), f"{mart_ns}.dim_date", "table", f"{root}/{mart_ns}")
+    mart = materialize(spark, models.mart_yearly_climate(fct), f"{mart_ns}.mart_yearly_climate", "table", f"{root}/{mart_ns}")
     tests = validation.run_data_tests(raw_st, raw_obs, dim_dt, dim_st, fct, mart)
     return {
         "raw_stations": raw_st, "raw_observations": raw_obs, "stg_observations": stg_obs,

@@ -10,6 +10,8 @@ from wxstar.sinks.parquet import (  # noqa: F401
     replace_undated,
     replace_years,
     table_name,
+    bucket_count,
+    write_bucketed,
     write_bucketed_fact,
     write_partitioned,
     write_quarantine,

@@ -110,20 +110,13 @@ def atomic_replace(
 ) -> DataFrame:
     """Load-then-swap replace of a table, all or nothing.
 
-    The new content is written under a fresh versioned directory, its row count checked
-    (against ``expected_rows`` when given), and only then is the name repointed (a temp
-    view here; a catalog ``CREATE OR REPLACE`` on a metastore). A failed write leaves the
-    previous version serving. Columns are selected by name in the declared order.
+    The new content is written under a fresh version folder and its rows counted in that write;
+    only a right count (``expected_rows``, when given) repoints the name, a catalog view that every session
+    sees. A failed write leaves the previous version serving. Columns are selected by name in the declared order.
     """
-    version = f"{table_root.rstrip('/')}/{name}/v-{uuid.uuid4().hex[:12]}"
-    (conform(df, schema) if schema else df).write.mode("errorifexists").parquet(version)
-    loaded = spark.read.schema(schema).parquet(version) if schema else spark.read.parquet(version)
-    if expected_rows is not None:
-        n = loaded.count()
-        if n != expected_rows:
-            raise ValueError(f"{name}: loaded {n} rows, expected {expected_rows}; not swapped")
-    loaded.createOrReplaceTempView(name)
-    return spark.table(name)
+    from wxstar.sinks.catalog import publish_view
+
+    return publish_view(spark, df, name, table_root, schema, expected_rows)
 
 
 def load_together(
@@ -161,17 +154,35 @@ def read_loaded(spark: SparkSession, root: str, name: str, schema: StructType) -
     return spark.read.schema(schema).parquet(f"{root}/{version}/{name}")
 
 
-def write_bucketed_fact(
-    fct: DataFrame, table: str, buckets: int, path: str | None = None
-) -> None:
-    """Fact layout for station-keyed work: bucketed by ``station_id`` and sorted by date,
-    so a distinct count of stations per year or a join on station needs no exchange on
-    the station key (the warehouse's distribution/sort keys, re-expressed). Rows are dealt by
-    station first, so a bucket is one sorted file instead of one per task."""
-    w = fct.repartition(buckets, "station_id").write.mode("overwrite").bucketBy(buckets, "station_id").sortBy("observation_date")
+BUCKET_BYTES = 256 << 20
+
+
+def bucket_count(df: DataFrame, bucket_bytes: int = BUCKET_BYTES, most: int = 4096) -> int:
+    """Buckets of about ``bucket_bytes`` by the planner's size of ``df``; a power of two, so that tables written at different
+    sizes still meet without a full exchange."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return min(most, 1 << max(0, (size - 1) // bucket_bytes).bit_length())
+
+
+def write_bucketed(
+    df: DataFrame, table: str, key: str, buckets: int | None = None, sort: str | None = None, path: str | None = None,
+) -> int:
+    """``df`` as a table bucketed by ``key`` (and sorted within buckets): work on the key, and joins with tables bucketed
+    alike, need no exchange. Rows are dealt by key first, so a bucket is one sorted file instead of one per task.
+    Returns the number of buckets (:func:`bucket_count` where none is given)."""
+    buckets = buckets or bucket_count(df)
+    w = df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(sort or key)
     if path:
         w = w.option("path", path)
     w.saveAsTable(table)
+    return buckets
+
+
+def write_bucketed_fact(fct: DataFrame, table: str, buckets: int | None = None, path: str | None = None) -> int:
+    """Fact layout for station-keyed work: bucketed by ``station_id`` and sorted by date,
+    so a distinct count of stations per year or a join on station needs no exchange on
+    the station key (the warehouse's distribution/sort keys, re-expressed)."""
+    return write_bucketed(fct, table, "station_id", buckets, "observation_date", path)
 
 
 def table_name(layer: str | None, target: str = "dev", default_schema: str = "public") -> str:
@@ -185,15 +196,16 @@ def table_name(layer: str | None, target: str = "dev", default_schema: str = "pu
 
 
 def materialize(spark: SparkSession, df: DataFrame, name: str, kind: str, path: str | None = None) -> DataFrame:
-    """Staging models are views (recomputed on read); marts are tables (written once).
-    A table goes to ``path`` as Parquet and is read back under ``name``."""
+    """Staging models are views (recomputed on read); marts are tables: an external catalog table
+    whose location is switched to the version just written under ``path``, never overwritten in place."""
+    from wxstar.sinks.catalog import publish_table
+
     if kind == "view":
         df.createOrReplaceTempView(name)
-    elif kind == "table":
-        if not path:
-            raise ValueError("a table needs a path")
-        df.write.mode("overwrite").parquet(path)
-        spark.read.parquet(path).createOrReplaceTempView(name)
-    else:
+        return spark.table(name)
+    if kind != "table":
         raise ValueError(f"unknown materialisation {kind!r}")
-    return spark.table(name)
+    if not path:
+        raise ValueError("a table needs a path")
+    spark.catalog.dropTempView(name)  # a temp view of that name would shadow the table
+    return publish_table(spark, df, name, path)

@@ -21,8 +21,13 @@ from wxstar.schemas import (
 MAX_BROADCAST_FILES = 100_000
 
 
+#: Suffix of a year's files, whether it is one file or several parts (``1998.csv.gz``; ``1998-00000.csv.gz``, ...).
+YEAR_PARTS = "[.-]*gz"
+
+
 def year_paths(prefix: str, years: Iterable[int], suffix: str = ".csv.gz") -> list[str]:
-    """``{prefix}/{year}.csv.gz`` for every year: the by-year layout of the source."""
+    """``{prefix}/{year}.csv.gz`` for every year: the by-year layout of the source. With ``YEAR_PARTS`` as suffix a year may
+    also be several parts, in the order of their names."""
     return [f"{prefix.rstrip('/')}/{y}{suffix}" for y in years]
 
 

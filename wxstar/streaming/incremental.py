@@ -2,15 +2,18 @@
 
 New or regenerated yearly observation files land in a folder; a streaming query with
 ``trigger(availableNow=True)`` picks up every file not yet processed (tracked in the
-checkpoint). ``foreachBatch`` finds the years that the new files touch, reads all landed
-files that may hold rows of those years again and replaces exactly those years. So a year spread over
-several files, or over several micro-batches, keeps all its rows; a replayed batch
+checkpoint). ``foreachBatch`` notes which years the new files hold (file, year, rows) in a manifest,
+then reads the landed files that the manifest has for the touched years, and no others, and replaces exactly those years. So a
+year spread over several files, or over several micro-batches, keeps all its rows; a batch costs the years it touches, not the
+landing; a replayed batch overwrites its own part of the manifest and
 rewrites the same years with the same rows, and the result is exactly-once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -35,6 +38,37 @@ def observation_stream(spark: SparkSession, landing_dir: str, max_files_per_trig
     })
 
 
+def manifest_path(out_root: str) -> str:
+    return f"{out_root.rstrip('/')}/landing_manifest.parquet"
+
+
+def row_year() -> Column:
+    """The year a raw row belongs to: of its date, else of its file; null if neither tells."""
+    return F.coalesce(F.year(parse_obs_date(F.col("date"))), F.col("source_year"))
+
+
+def note_files(batch: DataFrame, out_root: str, epoch_id: int) -> None:
+    """The manifest's part of a batch: (file, year, rows), a row per file and year; a replay overwrites it."""
+    batch.groupBy(F.col("src_file").alias("file"), row_year().alias("year")).agg(F.count(F.lit(1)).alias("rows")).write.mode(
+        "overwrite").option("partitionOverwriteMode", "static").parquet(f"{manifest_path(out_root)}/batch={epoch_id}")
+
+
+def rows_of_years(spark: SparkSession, out_root: str, years: list[int], epoch_id: int) -> DataFrame | None:
+    """The landed rows of ``years``, and the batch's own rows of no year, from the files that hold them alone.
+
+    The manifest gives these files; their list is as long as any scan of them keeps on the driver."""
+    schema = "file string, year int, rows bigint, batch bigint"
+    noted = spark.read.schema(schema).parquet(manifest_path(out_root))
+    undated = F.col("year").isNull() & (F.col("batch") == epoch_id)
+    held = noted.filter(F.col("year").isin(years) | undated).groupBy("file").agg(F.bool_or(undated).alias("undated")).collect()
+    if not held:
+        return None
+    files = sorted(unquote(r.file) for r in held)  # as the metadata names them
+    rows = with_source_year(read_observations(spark, files, with_position=True))
+    own = F.col("src_file").isin([r.file for r in held if r.undated])
+    return rows.filter(row_year().isin(years) | (row_year().isNull() & own))
+
+
 def start_incremental_ingest(
     spark: SparkSession, landing_dir: str, out_root: str, checkpoint: str | None = None,
     country: str = DEFAULT_COUNTRY, elements: list[str] = CORE_ELEMENTS,
@@ -46,13 +80,12 @@ def start_incremental_ingest(
     """
     def _batch(batch: DataFrame, epoch_id: int) -> None:
         # in the batch's own session; years come from valid dates and file names alone
-        new = prepare_observations(batch.withColumn("__file_year", F.col("source_year")), country, elements)
-        years = jobs.touched_years(new)
-        landed = with_source_year(read_observations(batch.sparkSession, landing_dir, with_position=True))
-        belongs = F.coalesce(F.year(parse_obs_date(F.col("date"))), F.col("source_year"))
-        landed = landed.filter(F.col("source_year").isNull() | F.col("source_year").isin(years) | belongs.isin(years)).filter(
-            belongs.isNull() | belongs.isin(years))
-        jobs.ingest(landed, out_root, years=years, country=country, elements=elements, undated_key="stream")
+        session = batch.sparkSession
+        note_files(batch, out_root, epoch_id)
+        years = jobs.touched_years(prepare_observations(batch.withColumn("__file_year", F.col("source_year")), country, elements))
+        rows = rows_of_years(session, out_root, years, epoch_id)
+        if rows is not None:
+            jobs.ingest(rows, out_root, years=years, country=country, elements=elements, undated_key=f"batch-{epoch_id}")
 
     if not checkpoint and not spark.conf.get("spark.checkpoint.dir", None):
         raise ValueError("a stream needs a checkpoint folder of its own that outlives the run")
