@@ -1,5 +1,7 @@
 """The pipeline: stage order, effects of each stage's decisions, odd input."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from wxstar.llm import queries
 from wxstar.llm.common import table
@@ -35,9 +37,21 @@ def test_stages_on_odd_rows(spark, odd_docs, no_docs):
         corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
 
 
+def test_columns_with_the_names_of_working_columns_are_carried(spark):
+    """Values of extra columns come through every stage, whatever their names."""
+    names = ["__rid", "__toxicity", "__spans", "__copies", "__copy", "__bits", "__place", "__bucket", "__doc", "fp", "rate", "copies", "later"]
+    docs = table(spark, SF, "documents").limit(60).select("*", *(F.concat(F.lit(f"{n} "), "doc_id").alias(n) for n in names)).cache()
+    start = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+        assert docs.columns == start.columns, name
+    rows = docs.collect()
+    assert rows and all(r[n] == f"{n} {r.doc_id}" for r in rows for n in names)
+
+
 def test_every_dealt_operator_is_registered():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
     assert set(entry.oracle_sql()) <= set(names)

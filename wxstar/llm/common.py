@@ -25,6 +25,11 @@ def text_or_empty(name: str = TEXT) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def enveloped(docs: DataFrame) -> DataFrame:
+    """(__doc, id, text): all columns of a document in one struct, so that none, whatever its name, meets a working column."""
+    return docs.select(F.struct("*").alias("__doc"), F.col(ID), F.col(TEXT))
+
+
 def crc_fold(col: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; null for a null id."""
     return (F.crc32(col.cast("string").cast("binary")) % folds).cast("int")

@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wxstar.llm.common import ID, TEXT, materialize, text_or_empty, with_row_ids
+from wxstar.llm.common import ID, TEXT, enveloped, materialize, text_or_empty, with_row_ids
 
 BUCKETS = 1 << 18
 MAX_ROWS = 20_000  # documented bound of the labelled sample
@@ -194,17 +194,17 @@ def fit_rates(table: DataFrame, target: np.ndarray, floor: float = 0.0) -> list[
 
 def rates(
     docs: DataFrame, domains: DataFrame, weights: dict[str, float], floor: float = 0.0, cover: bool = False, id_col: str = ID,
-    text_col: str = TEXT,
+    text_col: str = TEXT, rid: str | None = None,
 ) -> DataFrame:
     """(id, __rid, tokens, domain, posteriors, rate, copies) of every row.
 
     The total is the corpus's own; with ``cover`` it is the least at which no domain as a
-    whole shrinks. ``floor`` is the least rate a document may get (1: each is kept). Rows
-    that have ``__rid`` already keep it.
+    whole shrinks. ``floor`` is the least rate a document may get (1: each is kept). ``rid`` names
+    a column with numbers of the rows, where there is one.
     """
     known = docs.select(F.col(id_col).cast("bigint").alias(id_col), text_or_empty(text_col).alias("__text"), *(
-        ["__rid"] if "__rid" in docs.columns else []))
-    rows = known if "__rid" in docs.columns else with_row_ids(known, id_col)
+        [F.col(rid).alias("__rid")] if rid else []))
+    rows = known if rid else with_row_ids(known, id_col)
     made = fit_classifier(rows.withColumnRenamed("__text", TEXT), domains, id_col=id_col)
     names = made.names
     ids = rows.select("__rid", id_col)
@@ -229,7 +229,6 @@ def rates(
 
 def mix(docs: DataFrame, domains: DataFrame, weights: dict[str, float], floor: float = 0.0, cover: bool = False) -> DataFrame:
     """The rows of ``docs``, with all their columns, each as often as its copies say."""
-    rows = with_row_ids(docs)
-    copies = rates(rows, domains, weights, floor, cover).select("__rid", "copies").where("copies > 0")
-    return rows.join(copies.withColumnRenamed("copies", "__copies"), "__rid").withColumn(
-        "__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    rows = with_row_ids(enveloped(docs))
+    copies = rates(rows, domains, weights, floor, cover, rid="__rid").select("__rid", "copies").where("copies > 0")
+    return rows.join(copies, "__rid").select("__doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("__doc.*")

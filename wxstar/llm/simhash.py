@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wxstar.llm.common import ID, TEXT, by_marks, lean, marks, materialize, release, text_or_empty, with_row_ids
+from wxstar.llm.common import ID, TEXT, by_marks, enveloped, lean, marks, materialize, release, text_or_empty, with_row_ids
 from wxstar.llm.components import connected_components
 
 SHINGLE, MAX_BITS, SEED = 3, 2, 42
@@ -242,10 +242,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The row with the smallest id of each group, with all columns of ``docs``."""
-    rows = with_row_ids(docs)
+    rows = with_row_ids(enveloped(docs))
     found = near_duplicates(rows, shingle, max_bits, "__rid")
     gone = materialize(found.where("__rid <> component_id").select("__rid"), "gone")
     # a row that surely stays needs no join: only those that may go are dealt by row
     bitmap = marks(gone, "__rid")
     stays = by_marks(rows, bitmap, "__rid", False)
-    return by_marks(rows, bitmap, "__rid", True).join(gone, "__rid", "left_anti").unionByName(stays).drop("__rid")
+    return by_marks(rows, bitmap, "__rid", True).join(gone, "__rid", "left_anti").unionByName(stays).select("__doc.*")

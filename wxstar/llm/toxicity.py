@@ -130,5 +130,4 @@ def fit_on(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Subw
 
 def reject_toxic(docs: DataFrame, model: SubwordModel, threshold: float = THRESHOLD) -> DataFrame:
     """The rows whose score is below ``threshold``, with all their columns."""
-    kept = docs.withColumn("__toxicity", score(F.col("text").cast("string"), model))
-    return kept.where(F.col("__toxicity") < threshold).drop("__toxicity")
+    return docs.where(score(F.col("text").cast("string"), model) < threshold)
