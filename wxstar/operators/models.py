@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wxstar.functions.scalar import season_of
 
-# Staging renames: units live in the column names from here on.
+# Staging renames (fixed values: the published column names). Units live in the names from here on.
 OBSERVATION_RENAMES = {
     "id": "station_id",
     "date": "observation_date",

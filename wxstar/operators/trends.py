@@ -18,15 +18,9 @@ def with_yoy_change(yearly: DataFrame, count_col: str = "count", year_col: str =
     """Previous year's count (``lag``) and the change in % (2 decimals, null in the first
     year). The window has no partition key, which is fine: its input is one row per
     year, already aggregated, never raw rows."""
-    w = Window.orderBy(year_col)
-    prev = F.lag(count_col).over(w)
-    return yearly.withColumn("previous_year_count", prev).withColumn(
-        "change_pct",
-        F.round(
-            F.try_divide(F.col(count_col) - F.col("previous_year_count"), F.col("previous_year_count")) * 100,
-            2,
-        ),
-    )
+    count, before = F.col(count_col), F.lag(count_col).over(Window.orderBy(year_col))
+    return yearly.select(
+        "*", before.alias("previous_year_count"), F.round(F.try_divide(count - before, before) * 100, 2).alias("change_pct"))
 
 
 def monthly_counts(station_days: DataFrame, year: int, non_null: str | None = None) -> DataFrame:
