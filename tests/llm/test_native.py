@@ -141,8 +141,10 @@ def test_rates_equal_a_local_projected_gradient(spark):
     target = np.array([0.55, 0.3, 0.15]) * tokens.sum()
     steps = mixing.fit_rates(df, target)
     got = np.array([r[0] for r in df.select(mixing.rate_column(steps, 3, 0.0)).collect()])
-    rate, h = np.ones(200), (p * tokens[:, None]).T @ p
+    rate = np.ones(200)
     for _ in steps:
+        free = rate > 0
+        h = (p[free] * tokens[free, None]).T @ p[free]
         rate = np.maximum(0, rate - p @ np.linalg.solve(h, (p * tokens[:, None]).T @ rate - target))
     assert np.allclose(got, rate, atol=1e-5)
     assert np.allclose((p * tokens[:, None]).T @ got, target, rtol=2e-2)

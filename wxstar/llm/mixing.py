@@ -9,8 +9,8 @@ the many that all share, would only add noise. Features of one text are far from
 independent: evidence is scaled by ``a * tokens ** -b``, what is absent by c, all three chosen for the least log loss on a fold of the labelled
 rows that taught nothing. All of a text is read, however long it is. Then nonnegative document rates are fitted whose expected token
 total of each domain meets its target: projected gradient steps on the least-squares
-gap, measured in tokens (a document's step is weighed by its tokens, the gap by the inverse of sum tokens * p p^T, so step 1 is
-safe). A step needs the domains' totals alone: each iteration is one aggregate over all documents, and a document's rate is
+gap, measured in tokens (a document's step is weighed by its tokens, the gap by the inverse of sum tokens * p p^T over the
+documents that are not at the least rate). A step needs the domains' totals alone: each iteration is one aggregate over all documents, and a document's rate is
 recomputed from its posteriors and the short list of past steps. Nothing of the size of the corpus is
 kept, sent or broadcast between iterations. Steps end at a gap of ``TOLERANCE``, or where they no longer make it smaller (targets out of
 reach: then a warning tells the gap). Tokens are words here, whatever tokenizer follows.
@@ -40,7 +40,7 @@ MAX_ROWS = 20_000  # documented bound of the labelled sample
 DEVIATIONS = 6  # standard deviations from its expected count that a word's count must lie to tell a domain
 FOLDS = 5  # one labelled row in so many sets the scale of the evidence
 SCALES = [(a, b, c) for a in (0.1, 0.25, 0.5, 1.0, 2.0, 4.0) for b in (0.0, 0.25, 0.5) for c in (0.0, 0.1, 0.2, 0.3, 0.5, 1.0)]
-STALLED, TOLERANCE = 5, 1e-4  # steps without a gap smaller by a hundredth; share of the tokens
+STALLED, TOLERANCE = 8, 1e-4  # steps without a gap smaller by a hundredth; share of the tokens
 #: After the toxic documents have gone.
 CLEAN_TARGETS = {"quality=1,toxic=0": 0.9, "quality=0,toxic=0": 0.1}
 TARGETS = {"quality=1,toxic=0": 0.88, "quality=1,toxic=1": 0.03, "quality=0,toxic=0": 0.08, "quality=0,toxic=1": 0.01}
@@ -166,32 +166,45 @@ def rate_column(steps: list[np.ndarray], n: int, floor: float) -> Column:
 
 
 def fit_rates(table: DataFrame, target: np.ndarray, floor: float = 0.0) -> list[np.ndarray]:
-    """Projected gradient steps, each from one aggregate of as many sums as there are domains; up to the one with the least gap."""
+    """Projected gradient steps, up to the one with the least gap. Each is one aggregate: the domains' totals, and the sum of
+    tokens * p p^T over the rows above the floor, whose inverse scales the step (rows at the floor don't move, and
+    scaling by them too would shorten steps for ever)."""
     n = len(target)
     cells = [(i, j) for i in range(n) for j in range(i, n)]
-    sums = table.agg(*(F.sum(F.col("tokens") * F.col(f"p{i}") * F.col(f"p{j}")) for i, j in cells)).first()
-    h = np.zeros((n, n))
-    for (i, j), v in zip(cells, sums):
-        h[i, j] = h[j, i] = v or 0.0
-    whiten = np.linalg.pinv(h + np.eye(n) * 1e-9 * max(h.trace(), 1e-300))
     steps: list[np.ndarray] = []
-    best, least, since = 0, np.inf, 0
+    best, least, since, whole = 0, np.inf, 0, None
     while True:
         r = rate_column(steps, n, floor)
-        totals = np.array([v or 0.0 for v in table.agg(*(F.sum(F.col("tokens") * F.col(f"p{i}") * r) for i in range(n))).first()])
-        gap = totals - target
+        rated = table.select("tokens", *(f"p{i}" for i in range(n)), r.alias("__r"))
+        free = F.when(F.col("__r") > floor, F.col("tokens"))
+        sums = rated.agg(*(F.sum(F.col("tokens") * F.col(f"p{i}") * F.col("__r")) for i in range(n)), *(
+            F.sum(free * F.col(f"p{i}") * F.col(f"p{j}")) for i, j in cells)).first()
+        gap = np.array([v or 0.0 for v in sums[:n]]) - target
         size = float(np.abs(gap).sum() / max(target.sum(), 1e-300))
         since = 0 if size < 0.99 * least else since + 1
         if size < least:
             best, least = len(steps), size
         if least <= TOLERANCE or since >= STALLED:
             break
-        steps.append(whiten @ gap)
+        h = np.zeros((n, n))
+        for (i, j), v in zip(cells, sums[n:]):
+            h[i, j] = h[j, i] = v or 0.0
+        if whole is None and not steps and floor >= 1:  # all rows start at the floor
+            h = _gram(table, n)
+        whole = h if whole is None else whole
+        h = h if h.trace() > 1e-6 * whole.trace() else whole
+        steps.append(np.linalg.pinv(h + np.eye(n) * 1e-9 * max(whole.trace(), 1e-300)) @ gap)
     if least > TOLERANCE:
         warnings.warn(f"token totals miss the targets by {least:.2%} of the tokens", stacklevel=2)
     return steps[:best]
 
 
+def _gram(table: DataFrame, n: int) -> np.ndarray:
+    """The sum of tokens * p p^T."""
+    return np.array([v or 0.0 for v in table.agg(*(
+        F.sum(F.col("tokens") * F.col(f"p{i}") * F.col(f"p{j}")) for i in range(n) for j in range(n))).first()]).reshape(n, n)
+
+
 def rates(
     docs: DataFrame, domains: DataFrame, weights: dict[str, float], floor: float = 0.0, cover: bool = False, id_col: str = ID,
     text_col: str = TEXT, rid: str | None = None,
