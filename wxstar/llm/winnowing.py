@@ -1,14 +1,15 @@
 """Document fingerprints by winnowing, in DataFrame functions alone.
 
 Units are runs of up to 16 characters without white space (words; long unbroken runs are
-cut). Every k-gram of units has a polynomial rolling hash modulo a 32-bit prime, built
-from its neighbours' hashes by doubling (k = 5 = 4 + 1). In every window of 8 k-grams
+cut), so positions and the guarantee count units, not characters. Every k-gram of units has a hash modulo a 32-bit prime, built
+from its neighbours' hashes by doubling (k = 5 = 4 + 1): of polynomial form, but for the pairs' coefficient, which is cut to
+30 bits so that products stay in a bigint. In every window of 8 k-grams
 the least hash is chosen, the rightmost on ties: hash and reversed position share one bigint, and window minima
 are taken by doubling as well. Distinct choices with their positions are the fingerprint. Guarantee:
 two texts that share a run of ``K + WINDOW - 1`` = 12 units share a choice from that run.
 
 Defined results: a null text counts as empty and has an empty fingerprint; under five units
-make one gram; fewer than eight grams make one window. Two empty fingerprints have likeness 1.
+make one gram; fewer than eight grams make one window. A very long text is one row of arrays, some 100 bytes a unit. Two empty fingerprints have likeness 1.
 Repeated rows and repeated or null ids are fingerprinted each for itself (nulls come last in the id order);
 a lone document is its own next one. Only id and text are read, so other columns can't clash.
 """
