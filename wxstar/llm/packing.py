@@ -46,7 +46,7 @@ SIZE = 2048
 ROUNDS = 200
 SALT_ROWS = 200_000  # pieces of one length and salt that one window numbers
 PARTIAL = 224  # lengths that a round of the residual program prices, the 32 longest among them
-CACHE = 48 << 20  # bytes of words and ids that a Python worker keeps
+CACHE = 64 << 20  # bytes of words and ids that a Python worker keeps
 SLICE = 8 << 20  # bytes of text whose pieces are made together
 PART = 1 << 20  # characters of a long text that are encoded together
 
@@ -55,20 +55,26 @@ PART = 1 << 20  # characters of a long text that are encoded together
 
 
 class WordIds(dict):
-    """Word -> its ids as little-endian unsigned 32-bit numbers, encoded when first met."""
+    """Word -> its ids as little-endian unsigned 32-bit numbers, encoded when first met. Two generations of words are kept, of
+    about ``CACHE`` bytes together: a full one replaces the older, from which words in use come back, so frequent words stay."""
 
     def __init__(self, tokenizer):
         self.model = tokenizer.model
         self.alphabet = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.held = 0
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
+        found = self.older.get(word)
+        if found is None:
+            tokens = self.model.tokenize(self.alphabet.pre_tokenize_str(word)[0][0])
+            found = struct.pack(f"<{len(tokens)}I", *(t.id for t in tokens))
         self.held += 200 + len(word)  # about: two small objects and a place in the table
-        if self.held > CACHE:
+        if self.held > CACHE // 2:
+            self.older = dict(self)
             self.clear()
             self.held = 0
-        letters = self.alphabet.pre_tokenize_str(word)[0][0]
-        found = self[word] = struct.pack(f"<{len(t := self.model.tokenize(letters))}I", *(x.id for x in t))
+        self[word] = found
         return found
 
 
