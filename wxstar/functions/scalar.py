@@ -81,7 +81,7 @@ def year_from_path(path: str | Column) -> Column:
 
     The file name is taken after the last ``/`` so a year in a directory name is ignored.
     """
-    name = F.regexp_extract(_col(path), r"([^/]*)$", 1)
+    name = F.substring_index(_col(path), "/", -1)
     digits = F.regexp_extract(name, r"(\d{4})", 1)
     return F.when(digits != "", digits.cast("int")).otherwise(
         F.raise_error(F.concat(F.lit("cannot infer year from file name: "), name))
@@ -90,7 +90,7 @@ def year_from_path(path: str | Column) -> Column:
 
 def year_in_path(path: str | Column) -> Column:
     """First four-digit run in the file name as int, or null (no error) if there is none."""
-    name = F.regexp_extract(_col(path), r"([^/]*)$", 1)
+    name = F.substring_index(_col(path), "/", -1)
     digits = F.regexp_extract(name, r"(\d{4})", 1)
     return F.when(digits != "", digits.cast("int"))
 
