@@ -30,7 +30,8 @@ BACKFILL_UNTIL = 1999           # first backfill covers the years up to this one
 AS_OF = _dt.date(2001, 6, 1)    # rolling refresh adds [2000, 2001]
 BUCKETS = 8
 FIRST_YEAR = 1995
-LANDING_FILES = 8          # files of one landing, in source order
+LANDING_FILES = 8          # files of one landing at least, in source order
+ROWS_PER_PART = 500_000    # rows of a part, which one task sorts and writes: their number grows with the rows, not a task's memory
 ROUND = 4
 
 
@@ -165,9 +166,14 @@ def q_run_metrics(spark, sf_dir):
     return jobs.run_metrics(spark, clean, quarantine)
 
 
-def _yearly_files(spark, raw: DataFrame, parts: int = LANDING_FILES) -> str:
+def _parts(rows: int) -> int:
+    return max(LANDING_FILES, -(-rows // ROWS_PER_PART))
+
+
+def _yearly_files(spark, raw: DataFrame, parts: int | None = None) -> str:
     """``raw`` as a source of yearly files, ``{prefix}/{year}-{part}.csv.gz`` (the layout that the jobs read): rows in source
-    order over the parts, which are ranges of it, so no task writes a whole year."""
+    order over the parts, which are ranges of it of about ``ROWS_PER_PART`` rows, so no task writes a whole year."""
+    parts = parts or _parts(raw.count())
     stage, prefix = scratch_dir(spark, "by-year-parts"), scratch_dir(spark, "by-year")
     (
         raw.withColumn("file_year", F.substring("date", 1, 4).cast("int"))
@@ -254,9 +260,9 @@ def q_run_metrics_of_run(spark, sf_dir):
 def q_duplicate_cells_multi_file(spark, sf_dir):
     """Rows in source order over many files, so copies of a cell lie in different files and
     the first file's value counts: all station-days with their values."""
-    landing = scratch_dir(spark, "many")
+    landing, raw = scratch_dir(spark, "many"), _raw(spark, sf_dir)
     (
-        _raw(spark, sf_dir).repartitionByRange(LANDING_FILES, "src_order").sortWithinPartitions("src_order")
+        raw.repartitionByRange(_parts(raw.count()), "src_order").sortWithinPartitions("src_order")
         .select(*OBSERVATION_COLUMNS).write.option("compression", "gzip").csv(landing)
     )
     clean, _ = jobs.ingest(read_observations(spark, landing, with_position=True), scratch_dir(spark, "job"))
@@ -335,7 +341,8 @@ def _streamed(spark, sf_dir) -> DataFrame:
     raw = _raw(spark, sf_dir)
     year_text = F.substring("date", 1, 4).try_cast("int")
     for part, cond in (("a", year_text <= BACKFILL_UNTIL), ("b", year_text > BACKFILL_UNTIL)):
-        rows = raw.filter(cond).repartitionByRange(LANDING_FILES, "src_order").sortWithinPartitions("src_order")
+        rows = raw.filter(cond)
+        rows = rows.repartitionByRange(_parts(rows.count()), "src_order").sortWithinPartitions("src_order")
         rows.select(*OBSERVATION_COLUMNS).write.option("compression", "gzip").csv(f"{landing}/{part}")
         q = start_incremental_ingest(spark, f"{landing}/*", out, checkpoint=ckpt)
         q.awaitTermination()
