@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from wxstar.operators import models, validation
 from wxstar.plans import lake
-from wxstar.plans.files import FIRST_YEAR, REPLACE_YEAR, AS_OF, _built_star, _raw, _without_month, _yearly_files
+from wxstar.plans.files import FIRST_YEAR, REPLACE_YEAR, AS_OF, _built_star, _raw, _parts, _without_month, _yearly_files
 from wxstar.plans.star import star_from_tables
 from wxstar.session import scratch_dir
 from wxstar.sinks import catalog, parquet as sinks
 
 REFRESHED = (REPLACE_YEAR, REPLACE_YEAR + 1)
-LANDED_ROWS = 1000  # rows of a landed file here: a year is many of them
+LANDED_ROWS, LANDED_FILES = 1000, 2000  # rows of a landed file here, and files from which on they hold more: a year is many of them
 DIGITS = 8  # decimals of plain averages, whose last bits depend on the order of summation
 
 
@@ -53,8 +53,9 @@ def q_lake_run_metrics(spark, sf_dir):
 def q_lake_landed(spark, sf_dir):
     """Yearly files with repeated cells over their parts, re-laid into small ordered files, then ingested from these."""
     namespace, root = _namespace(spark)
-    years = range(FIRST_YEAR, AS_OF.year + 1)
-    lake.land(spark, _yearly_files(spark, _raw(spark, sf_dir)), namespace, root, years, rows_per_file=LANDED_ROWS)
+    raw, years = _raw(spark, sf_dir), range(FIRST_YEAR, AS_OF.year + 1)
+    rows = raw.count()
+    lake.land(spark, _yearly_files(spark, raw, _parts(rows)), namespace, root, years, rows_per_file=max(LANDED_ROWS, rows // LANDED_FILES))
     lake.ingest_landed(spark, namespace, root, years)
     return spark.newSession().table(f"{namespace}.station_days")
 
