@@ -208,14 +208,16 @@ def partition_checksums(df: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def differing_partitions(old: DataFrame, new: DataFrame, by: Sequence[str]) -> list[tuple]:
     """The partitions whose rows or checksums differ, or that one side lacks: at most as many as there are partitions."""
-    theirs = partition_checksums(new.select(*old.columns), by).select(*by, F.col("n").alias("n2"), F.col("a").alias("a2"), F.col("b").alias("b2"))
+    other = {c: f"__other_{c}" for c in by}  # names of their own: both sides may be one table
+    theirs = partition_checksums(new.select(*old.columns), by).select(
+        *(F.col(c).alias(o) for c, o in other.items()), F.col("n").alias("n2"), F.col("a").alias("a2"), F.col("b").alias("b2"))
     ours = partition_checksums(old, by)
     same = F.lit(True)
-    for c in by:
-        same = same & ours[c].eqNullSafe(theirs[c])
+    for c, o in other.items():
+        same = same & F.col(c).eqNullSafe(F.col(o))
     joined = ours.join(theirs, same, "full_outer")
     differs = ~(F.col("n").eqNullSafe(F.col("n2")) & F.col("a").eqNullSafe(F.col("a2")) & F.col("b").eqNullSafe(F.col("b2")))
-    return [tuple(r) for r in joined.filter(differs).select(*(F.coalesce(ours[c], theirs[c]).alias(c) for c in by)).collect()]
+    return [tuple(r) for r in joined.filter(differs).select(*(F.coalesce(c, o).alias(c) for c, o in other.items())).collect()]
 
 
 def rerun_diff_by_partition(old: DataFrame, new: DataFrame, by: Sequence[str]) -> DataFrame:
