@@ -239,10 +239,10 @@ def test_passage_shared_by_most_documents(spark, monkeypatch):
     assert all(r.end_word - r.start_word >= 80 for r in got)
 
 
-def linked_pairs(texts, deal=lambda rows: rows, flush=None):
+def linked_pairs(texts, flush=None):
     """Verified (later, earlier) of the texts, without Spark; ``flush`` rows are linked together."""
     batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array([" ".join(t) for t in texts])], names=["__rid", "__text"])
-    rows = deal(sub._windows_of(batch, 46, 6))
+    rows = sub._windows_of(batch, 46, 6)
     rows = rows[np.lexsort((rows[:, 3], rows[:, 2], rows[:, 1], rows[:, 0]))]
     met, lead = {}, None
     for i in range(0, len(rows), flush or len(rows)):
@@ -268,13 +268,117 @@ def test_links_when_the_lead_is_like_only_one_of_two():
     assert found >= 19 and shared == 20
 
 
-def test_hot_keys_stay_linked():
-    rows = np.zeros((200, 5), np.int64)
-    rows[:, 0], rows[:, 2] = 77 * 8, np.arange(200)
-    dealt = sub._salted(rows)
-    assert len(np.unique(dealt[:, 1])) == sub.SALTS + 1
-    for salt in range(sub.SALTS + 1):
-        assert dealt[dealt[:, 1] == salt, 2].min() == 0
+def test_every_two_windows_of_a_group_are_linked():
+    rows = np.zeros((40, 6), np.int64)
+    rows[:, 0], rows[:, 2], rows[:, 4] = 77 * 8, np.arange(40) // 2, (30 << 32) | 30
+    rows[:, 3], rows[:, 5] = (np.arange(40) << 32) | np.arange(40), np.arange(40)  # no two with the same text beside the centre
+    made = sub._links(rows, None, 46)[0]
+    assert {(a, b) for a, b, *_ in made.tolist()} == {(a, b) for a in range(20) for b in range(a)} and len(made) == 4 * 190
+
+
+def test_pairs_are_made_in_parts(monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = np.zeros((300, 5), np.int64)
+    rows[:, 0], rows[:, 2], rows[:, 3], rows[:, 4] = np.sort(rng.integers(0, 9, 300)), rng.integers(0, 90, 300), rng.integers(0, 99, 300) << 32, (40 << 32) | 9
+    rows = rows[np.lexsort((rows[:, 3], rows[:, 2], rows[:, 0]))]
+    whole = sub._links(rows, None, 46)[0]
+    monkeypatch.setattr(sub, "PAIRS", 7)
+    assert np.array_equal(sub._links(rows, None, 46)[0], whole)
+
+
+def in_blocks(rows, near):
+    """Links of the rows of hot keys, dealt and sorted."""
+    order = np.lexsort((rows[:, 3], rows[:, 2], rows[:, 1], rows[:, 0]))
+    return [m for r, n in sub._cut(rows[order], [near[i] for i in order]) for m in sub._block_links(r, n, 46, 0.8)]
+
+
+def dealt_hot(texts):
+    """Rows and shingles of the texts' windows with every key hot."""
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array([" ".join(t) for t in texts])], names=["__rid", "__text"])
+    rows, places, flat = sub._located(batch, 46, 6)
+    hot, sizes = np.unique(rows[:, 0], return_counts=True)
+    parts = list(sub._dealt(rows, places, flat, hot, sizes, sub.least_shared(46, 0.8)[1]))
+    return np.concatenate([p for p, _ in parts]), [x for _, n in parts for x in n.to_pylist()]
+
+
+@pytest.mark.parametrize("block", [4096, 7])
+def test_blocks_link_what_shares_enough_and_fold_copies(block, monkeypatch):
+    monkeypatch.setattr(sub, "BLOCK", block)
+    rng = np.random.default_rng(9)
+    line, other = words(rng, 45), words(rng, 60)
+    texts = [words(rng, int(rng.integers(20, 60))) + (line if i % 2 else line[:20]) + (other if i % 3 else other[:i % 7 * 8]) + words(rng, 50)
+             for i in range(40)]
+    rows, near = dealt_hot(texts)
+    sets = {}
+    for r, n in zip(rows.tolist(), near):
+        sets.setdefault(r[0], {})[r[2], r[3]] = set(np.frombuffer(n, np.uint32).tolist())
+    least, pairs, made = sub.least_shared(46, 0.8)[0], 0, 0
+    for key, group in sets.items():
+        own = rows[:, 0] == key
+        linked = {tuple(x) for m in in_blocks(rows[own], [n for n, o in zip(near, own) if o]) for x in m[:, :2].tolist()}
+        made += len(linked)
+        stands = {d: d for d, _ in group}
+        for a, b in linked:
+            top = stands[a], stands[b]
+            stands = {d: min(top) if x in top else x for d, x in stands.items()}
+        for (a, _), x in group.items():
+            for (b, _), y in group.items():
+                if b < a and len(x & y) >= least:
+                    pairs += 1
+                    assert stands[a] == stands[b]
+    assert pairs > 100 and made < pairs
+
+
+def test_near_copies_in_a_hot_group_are_members(spark, monkeypatch):
+    monkeypatch.setattr(sub, "SAMPLE", 1)
+    monkeypatch.setattr(sub, "BLOCK", 20)
+    rng = np.random.default_rng(12)
+    passage, texts = words(rng, 110), []
+    for i in range(24):  # each has a change of its own: two texts are 0.82 alike, none is a copy
+        own = list(passage)
+        own[5 + 4 * i] = f"changed{i}"
+        texts.append(" ".join(words(rng, 30) + own + words(rng, 30)))
+    rows = spark.createDataFrame(list(enumerate(texts)), "__rid bigint, __text string")
+    got = sub.repeated_passages(rows).select("later", "earlier", "start_word", "end_word").collect()
+    for i in range(1, 24):
+        covered = {w for r in got if r.later == i for w in range(r.start_word, r.end_word)}
+        assert covered >= set(range(30, 140)) - {35 + 4 * i}
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_links_between_members_of_different_classes(hot):
+    found = 0
+    for seed in range(5):  # the first is like the second, the third like the second alone, among others that have the middle
+        rng = np.random.default_rng(seed)
+        first = [f"{seed}p{i}" for i in range(60)]
+        second = first[:15] + ["changed"] + first[16:]
+        third = second[:45] + ["altered"] + second[46:]
+        texts = [words(rng, 50) + p + words(rng, 50) for p in (first, *[words(rng, 9) + first[16:45] for _ in range(9)], second, third)]
+        if hot:
+            met = {}
+            for made in in_blocks(*dealt_hot(texts)):
+                for later, earlier, *link in made.tolist():
+                    met.setdefault((later, earlier), []).append(link)
+            a, b = (sub.shingle_hashes(" ".join(texts[i])) for i in (11, 10))
+            found += bool((11, 10) in met and sub.verified(a, b, sub.agreed_stretches(sub._counted(np.array(met[11, 10]), 2), 2), 46, 0.8))
+        else:
+            found += (11, 10) in linked_pairs(texts)
+    assert found == 5
+
+
+def test_least_shared_shingles():
+    assert sub.least_shared(46, 0.8) == (28, 68)
+    rng = np.random.default_rng(1)
+    least, around = sub.least_shared(46, 0.8)
+    for _ in range(200):  # a stretch of 46 to 91 with the misses next to the centre
+        n = int(rng.integers(46, 92))
+        missed = int(0.2 * n + 1e-9)
+        match = np.ones(n, bool)
+        at = int(rng.integers(0, n - missed + 1))
+        match[at:at + missed] = False
+        centre = int(rng.choice(np.flatnonzero(match)))
+        begin = int(rng.integers(max(0, centre - 45), min(centre, n - 46) + 1))
+        assert match[begin:begin + 46].sum() >= least
 
 
 @pytest.mark.parametrize("flush", [None, 300])
@@ -286,7 +390,9 @@ def test_hot_line_in_a_passage_of_two(flush):
         texts = [words(rng, 50) + line + words(rng, 50) for _ in range(90)]
         for i in (30, 89):
             texts[i] = words(rng, 50) + line + rest + words(rng, 50)
-        found += (89, 30) in linked_pairs(texts, sub._salted, flush)
+        found += (89, 30) in linked_pairs(texts, flush=flush)
+        rows, near = dealt_hot(texts)
+        assert (89, 30) in {(a, b) for made in in_blocks(rows, near) for a, b in made[:, :2].tolist()}
     assert found == 4
 
 
@@ -308,8 +414,8 @@ def test_hot_numbers_of_a_sample(spark, monkeypatch):
     monkeypatch.setattr(sub, "SAMPLE", 1)
     passage = words(rng, 80)
     rows = spark.createDataFrame([(i, " ".join(words(rng, 20) + passage + words(rng, 20))) for i in range(80)], "__rid bigint, __text string")
-    hot = sub.hot_numbers(rows, 46, 6)
-    assert len(hot) and (np.diff(hot) > 0).all()
+    hot, sizes = sub.hot_numbers(rows, 46, 6)
+    assert len(hot) and (np.diff(hot) > 0).all() and sizes.min() >= sub.HOT and sizes.max() >= 80
     assert sub.repeated_passages(rows).select("later").distinct().count() == 79
 
 
