@@ -1,6 +1,7 @@
 """SimHash near-dedup, components and passage dedup against brute force."""
 
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -371,6 +372,43 @@ def test_links_between_members_of_different_classes(hot):
     assert found == 5
 
 
+def test_rows_of_near_copies_grow_with_their_number(spark, monkeypatch):
+    monkeypatch.setattr(sub, "SAMPLE", 1)
+    rng = np.random.default_rng(12)
+    passage, texts = words(rng, 110), []
+    for i in range(48):  # any two are near-duplicates, none is a copy
+        own = list(passage)
+        own[5 + 2 * i] = f"changed{i}"
+        texts.append(" ".join(words(rng, 30) + own + words(rng, 30)))
+    got = sub.repeats(make_docs(spark, texts)).collect()
+    assert len(got) < 10 * 48  # of 1,128 pairs
+    root, covered = list(range(48)), [set() for _ in texts]
+    for r in got:
+        a, b = root[r.doc_id], root[r.other_id]
+        root = [min(a, b) if x in (a, b) else x for x in root]
+        covered[r.doc_id] |= set(range(r.start_word, r.end_word))
+    assert root == [0] * 48
+    assert all(covered[i] >= set(range(30, 140)) for i in range(3, 48))  # the first ones may end at a change
+
+
+def test_spanning_links_keep_the_only_like_one():
+    found = 0
+    for seed in range(5):  # as above: the third is like the second alone
+        rng = np.random.default_rng(seed)
+        first = [f"{seed}p{i}" for i in range(60)]
+        second = first[:15] + ["changed"] + first[16:]
+        third = second[:45] + ["altered"] + second[46:]
+        texts = [words(rng, 50) + p + words(rng, 50) for p in (first, *[words(rng, 9) + first[16:45] for _ in range(9)], second, third)]
+        met, (rows, near) = {}, dealt_hot(texts)
+        order = np.lexsort((rows[:, 3], rows[:, 2], rows[:, 1], rows[:, 0]))
+        for r, n in sub._cut(rows[order], [near[i] for i in order]):
+            for later, earlier, *link in chain.from_iterable(m.tolist() for m in sub._block_links(r, n, 46, 0.8, False)):
+                met.setdefault((later, earlier), []).append(link)
+        a, b = (sub.shingle_hashes(" ".join(texts[i])) for i in (11, 10))
+        found += bool((11, 10) in met and sub.verified(a, b, sub.agreed_stretches(np.array(met[11, 10]), 2), 46, 0.8))
+    assert found == 5
+
+
 def test_least_shared_shingles():
     assert sub.least_shared(46, 0.8) == (28, 68)
     rng = np.random.default_rng(1)
