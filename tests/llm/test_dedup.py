@@ -391,6 +391,22 @@ def test_rows_of_near_copies_grow_with_their_number(spark, monkeypatch):
     assert all(covered[i] >= set(range(30, 140)) for i in range(3, 48))  # the first ones may end at a change
 
 
+def test_query_and_stage_make_every_link_of_a_hot_group(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(sub, "SAMPLE", 1)
+    rng = np.random.default_rng(12)
+    passage, texts = words(rng, 110), []
+    for i in range(24):  # each has a change of its own: two texts are 0.82 alike, none is a copy
+        own = list(passage)
+        own[5 + 4 * i] = f"changed{i}"
+        texts.append(" ".join(words(rng, 30) + own + words(rng, 30)))
+    make_docs(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op5_substring_dedup(spark, str(tmp_path)).collect()
+    assert {(r.doc_id, r.other_id) for r in got} == {(a, b) for a in range(24) for b in range(a)}
+    left = {r.doc_id: r.text for r in sub.remove_repeats(table(spark, str(tmp_path), "documents")).collect()}
+    for i, text in enumerate(texts):
+        assert left[i] == sub.without_words(text, [(r.start_word, r.end_word) for r in got if r.doc_id == i])
+
+
 def test_spanning_links_keep_the_only_like_one():
     found = 0
     for seed in range(5):  # as above: the third is like the second alone
