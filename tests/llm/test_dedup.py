@@ -478,6 +478,57 @@ def test_hot_numbers_of_a_sample(spark, monkeypatch):
     assert sub.repeated_passages(rows).select("later").distinct().count() == 79
 
 
+def test_texts_go_to_tiles_and_not_to_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    passage, texts = words(rng, 110), []
+    for i in range(40):
+        own = list(passage)
+        own[5 + 2 * i] = f"changed{i}"
+        texts.append(" ".join(words(rng, 30) + own + words(rng, 30 + i)))
+    rows = spark.createDataFrame(list(enumerate(texts)), "__rid bigint, __text string")
+    whole = sorted(map(tuple, sub.repeated_passages(rows).collect()))
+    assert len(whole) >= 700  # of 780 pairs
+    for tile in (64, 1 << 20):
+        monkeypatch.setattr(sub, "TILE", tile)
+        assert sorted(map(tuple, sub.repeated_passages(rows).collect())) == whole
+        with monkeypatch.context() as m:
+            m.setattr(sub, "_verify", lambda *a: ((lambda x: x), "tile bigint, kind int, rid bigint, data binary, stretches binary"))
+            sent = sub.repeated_passages(rows).where("kind = 0")
+            assert sent.count() == sent.distinct().count() < 780 // 2
+
+
+def test_covered_words_are_those_of_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(sub, "TILE", 50)
+    rng = np.random.default_rng(4)
+    parts = [words(rng, 70) for _ in range(4)]
+    texts = []
+    for _ in range(60):  # edited, cut and repeated parts in any order
+        text = words(rng, int(rng.integers(0, 30)))
+        for k in rng.integers(0, 4, int(rng.integers(1, 5))).tolist():
+            part = parts[k][:int(rng.integers(40, 71))]
+            for at in rng.integers(0, len(part), int(rng.integers(0, 3))).tolist():
+                part = part[:at] + ["edited"] + part[at + int(rng.integers(0, 2)):]
+            text += part + words(rng, int(rng.integers(0, 9)))
+        texts.append(" ".join(text))
+    rows = spark.createDataFrame(list(enumerate(texts)), "__rid bigint, __text string")
+    whole, covered = set(), set()
+    for out, found in ((whole, sub.repeated_passages(rows)), (covered, sub.covered_words(rows))):
+        for r in found.collect():
+            out |= {(r.later, w) for w in range(r.start_word, r.end_word)}
+    assert whole == covered and len(whole) > 3000
+
+
+def test_reach_holds_every_segment_that_is_tried():
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        n = int(rng.integers(46, 200))
+        match = np.repeat(rng.random(n // 5 + 1) < rng.random(), 5)[:n] ^ (rng.random(n) < 0.1)
+        reach, tried = sub.reach_of(match, 46, 0.8), []
+        for a, b in ((0, n), (n // 4, n), (0, n - n // 4)):
+            sub.near_segments(match[a:b], 46, 0.8, lambda s, e: tried.append((s + a, e + a)))
+        assert all(reach[s:e].all() for s, e in tried)
+
+
 def test_removing_words_keeps_the_rest():
     assert sub.without_words("a b\nc  d e", [(1, 3)]) == "a d e"
     assert sub.without_words("a b c", [(0, 2), (1, 3)]) == ""
